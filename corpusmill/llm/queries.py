@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe
+from . import bpe, decontaminate, langid, secrets
 from .common import table
 
 RANKS = "byte_bpe_50k.tiktoken"
@@ -25,5 +25,49 @@ def op1_bpe_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {"op1_bpe_roundtrip": op1_bpe_roundtrip}
+def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base spans of every document, and added ones that the corpus says are somebody's own."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    found = secrets.scan_corpus(docs)
+    count = lambda kind: F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long")
+    return found.select(
+        "doc_id",
+        *[count(kind).alias(f"n_{kind}") for kind in secrets.BASE],
+        F.sha2(secrets.render("base"), 256).alias("base_sha256"),
+        secrets.render("spans").alias("spans"),
+        F.size(F.filter("spans", lambda s: s["live"])).cast("long").alias("n_live"),
+    )
+
+
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Predict the language of every document from dictionaries of labelled ones."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    held_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2
+    model = langid.fit(docs.where(~held_out))
+    return langid.classify(docs.drop("lang"), model).select(
+        "doc_id", held_out.alias("held_out"), "lang_pred", "score"
+    )
+
+
+def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of every document that lie in a window of a benchmark item."""
+    found = decontaminate.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    hits = decontaminate.n_hit()
+    return found.select(
+        "doc_id",
+        "n_words",
+        hits.alias("n_hit"),
+        F.size("items").cast("long").alias("n_items"),
+        decontaminate.digest().alias("items_sha256"),
+        (hits > 0).alias("contaminated"),
+        F.size("near_items").cast("long").alias("n_near_items"),
+    )
+
+
+QUERIES = {
+    "op1_bpe_roundtrip": op1_bpe_roundtrip,
+    "op7_secret_scan": op7_secret_scan,
+    "op9_language_id": op9_language_id,
+    "op10_decontaminate": op10_decontaminate,
+}
 ORACLES: dict[str, str] = {}
