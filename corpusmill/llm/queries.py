@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, langid, secrets
+from . import bpe, decontaminate, html_text, langid, secrets, warc
 from .common import table
 
 RANKS = "byte_bpe_50k.tiktoken"
@@ -25,6 +25,22 @@ def op1_bpe_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Write every page to seekable bundles and read all records back."""
+    folder = warc.new_folder(spark)
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    index = warc.write(warc.plan(pages, "page_id", "url", "html"), folder)
+    return warc.read(index, folder, with_payload=False).select(
+        F.col("record_id").alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to"
+    )
+
+
+def op5_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return html_text.extract_text(pages).select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base spans of every document, and added ones that the corpus says are somebody's own."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
@@ -66,6 +82,8 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_bpe_roundtrip": op1_bpe_roundtrip,
+    "op3_warc": op3_warc,
+    "op5_html_text": op5_html_text,
     "op7_secret_scan": op7_secret_scan,
     "op9_language_id": op9_language_id,
     "op10_decontaminate": op10_decontaminate,
