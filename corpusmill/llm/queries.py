@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, html_text, langid, secrets, warc
+from . import bpe, decontaminate, html_text, langid, near_dup, secrets, warc
 from .common import table
 
 RANKS = "byte_bpe_50k.tiktoken"
@@ -35,6 +35,12 @@ def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents whose word shingle sets have a similarity of 0.85 or more."""
+    found = near_dup.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"), percent=85)
+    return found.withColumn("kept", F.col("doc_id") == F.col("component_id"))
+
+
 def op5_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Main text of every page."""
     pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
@@ -83,6 +89,7 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_bpe_roundtrip": op1_bpe_roundtrip,
     "op3_warc": op3_warc,
+    "op4_near_duplicates": op4_near_duplicates,
     "op5_html_text": op5_html_text,
     "op7_secret_scan": op7_secret_scan,
     "op9_language_id": op9_language_id,
