@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, html_text, langid, near_dup, secrets, warc
+from . import bpe, decontaminate, html_text, langid, near_dup, repeats, secrets, warc
 from .common import table
 
 RANKS = "byte_bpe_50k.tiktoken"
@@ -47,6 +47,12 @@ def op5_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract_text(pages).select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
 
 
+def op6_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Remove every byte that lies in a string of 100 bytes that starts earlier, too."""
+    found = repeats.remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base spans of every document, and added ones that the corpus says are somebody's own."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
@@ -91,6 +97,7 @@ QUERIES = {
     "op3_warc": op3_warc,
     "op4_near_duplicates": op4_near_duplicates,
     "op5_html_text": op5_html_text,
+    "op6_repeats": op6_repeats,
     "op7_secret_scan": op7_secret_scan,
     "op9_language_id": op9_language_id,
     "op10_decontaminate": op10_decontaminate,
