@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, html_text, langid, near_dup, repeats, secrets, warc
+from . import bpe, decontaminate, html_text, langid, near_dup, repeats, secrets, vectors, warc
 from .common import table
 
 RANKS = "byte_bpe_50k.tiktoken"
@@ -25,6 +25,12 @@ def op1_bpe_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and components of vectors of a label whose cosine is 0.93 or more."""
+    found = vectors.near_vectors(table(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label"))
+    return found.withColumn("kept", F.col("vec_id") == F.col("component_id"))
+
+
 def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Write every page to seekable bundles and read all records back."""
     folder = warc.new_folder(spark)
@@ -94,6 +100,7 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_bpe_roundtrip": op1_bpe_roundtrip,
+    "op2_near_vectors": op2_near_vectors,
     "op3_warc": op3_warc,
     "op4_near_duplicates": op4_near_duplicates,
     "op5_html_text": op5_html_text,
