@@ -44,13 +44,13 @@ def words(text: str | None) -> list[bytes]:
 class Windows:
     """The distinct windows of test items, with their terms numbered from 1."""
 
-    def __init__(self, items: list[tuple[str, str | None]], size: int = WINDOW):
+    def __init__(self, items: list[tuple[str, str | None]], size: int = WINDOW, shortest: int = 1):
         self.size = size
         self.vocab: dict[bytes, int] = {}
         holders: dict[tuple[int, ...], set[str]] = {}
         for item, text in items:
             terms = [self.vocab.setdefault(w, len(self.vocab) + 1) for w in words(text)]
-            for at in range(max(1, len(terms) - size + 1) if terms else 0):
+            for at in range(max(1, len(terms) - size + 1) if len(terms) >= shortest else 0):
                 holders.setdefault(tuple(terms[at : at + size]), set()).add(item)
         self.items = [tuple(sorted(x)) for x in holders.values()]
         self.length = np.array([len(x) for x in holders], np.int32)
@@ -196,14 +196,18 @@ def search(
     item_text: str = "text",
     window: int = WINDOW,
     slack: int = SLACK,
+    shortest: int = 1,
 ) -> DataFrame:
-    """key, n_words, hits (starts and ends of the runs of hit words), items, near_items of every document."""
+    """key, n_words, hits (starts and ends of the runs of hit words), items, near_items of every document.
+
+    Items of fewer than ``shortest`` words are left out.
+    """
     spark = df.sparkSession
     docs = df.select(F.col(key).alias("key"), F.col(text).alias("text"))
     schema = T.StructType([T.StructField("key", docs.schema["key"].dataType), *HITS.fields])
     parts = []
     for items in _blocks(benchmark, item, item_text):
-        windows = spark.sparkContext.broadcast(Windows(items, window))
+        windows = spark.sparkContext.broadcast(Windows(items, window, shortest))
 
         def run(batches, windows=windows):
             w = windows.value
@@ -264,6 +268,13 @@ def _batch(keys: pa.Array, rows: list[tuple]) -> pa.RecordBatch:
     )
 
 
+def clean(df: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text", shortest: int = 5) -> DataFrame:
+    """The rows of ``df`` that no window of an item of at least ``shortest`` words occurs in."""
+    found = search(df, benchmark, key, text, slack=0, shortest=shortest)
+    leaks = found.where(F.size("hits") > 0).select(F.col(key).alias("__leak")).distinct()
+    return df.join(leaks, df[key].eqNullSafe(leaks["__leak"]), "left_anti")
+
+
 def n_hit(hits: str = "hits"):
     """Words covered: the alternating sum of starts and ends."""
     return F.aggregate(hits, F.lit(0).cast("long"), lambda done, edge: edge - done)

@@ -5,12 +5,12 @@ A text, reduced to its lower-case letter words, is cut into blocks that cover it
 whole, every block is compressed with each dictionary, and the language whose
 total is smallest wins. The margin is how much smaller it is than the runner-up,
 as a share of the runner-up. Where it is narrow, the whole text is compressed
-again in smaller blocks with more effort. Texts whose margin is then below
-``reject_below`` are rejected as ``und``.
+again in smaller blocks with more effort. Texts of some length whose margin is
+then below ``reject_below`` are rejected as ``und``; in a few words a narrow
+margin says nothing.
 
 Defined results: a null text, or one without a letter, is ``und`` with score 0;
-equal totals go to the language first in alphabetical order with score 0 (and
-are rejected if ``reject_below`` is above 0); with no labelled text at all
+equal totals go to the language first in alphabetical order with score 0; with no labelled text at all
 every text is ``und``; columns of the same name as an output column are
 replaced.
 """
@@ -30,6 +30,8 @@ UNKNOWN = "und"
 MAX_LANGUAGES, SAMPLE_TEXTS, EXCERPT_CHARS = 256, 400, 240
 #: Bytes of a block and effort of the compressor, at first and for texts whose margin is below ``NARROW``.
 QUICK, CAREFUL, NARROW = (4096, 3), (1024, 12), 0.06
+#: Bytes of letter words from which a text can be rejected for its margin.
+ENOUGH = 400
 _WORD = re.compile(r"[^\W\d_]+")
 
 
@@ -79,7 +81,7 @@ class Classifier:
                 )
             self.steps.append((size, packers))
 
-    def predict(self, text: str | None) -> tuple[str, float]:
+    def predict(self, text: str | None, reject_below: float = 0.0) -> tuple[str, float]:
         """The language and its margin, from 0 to 1."""
         own = normal(text or "")
         if not self.langs or not own.strip():
@@ -92,6 +94,8 @@ class Classifier:
             margin = (rest - best) / rest
             if margin >= NARROW:
                 break
+        if margin < reject_below and len(own) >= ENOUGH:
+            return UNKNOWN, margin
         return self.langs[totals.index(best)], margin
 
 
@@ -113,11 +117,8 @@ def classify(
         classifier = Classifier(model)
 
         def work(texts):
-            found = [classifier.predict(x) for x in texts]
-            return {
-                out: [k if s >= reject_below else UNKNOWN for k, s in found],
-                score: [float(s) for _, s in found],
-            }
+            found = [classifier.predict(x, reject_below) for x in texts]
+            return {out: [k for k, _ in found], score: [float(s) for _, s in found]}
 
         return work
 

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, html_text, langid, near_dup, repeats, secrets, vectors, warc
+from . import bpe, decontaminate, html_text, langid, near_dup, repeats, secrets, suffix_tree, vectors, warc
 from .common import table
 
 RANKS = "byte_bpe_50k.tiktoken"
@@ -73,6 +73,15 @@ def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Score every document with a suffix tree learned from nine tenths of them."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 10 == 0
+    return suffix_tree.score(docs, held_out).select(
+        "doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"
+    )
+
+
 def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Predict the language of every document from dictionaries of labelled ones."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
@@ -106,6 +115,7 @@ QUERIES = {
     "op5_html_text": op5_html_text,
     "op6_repeats": op6_repeats,
     "op7_secret_scan": op7_secret_scan,
+    "op8_lm_score": op8_lm_score,
     "op9_language_id": op9_language_id,
     "op10_decontaminate": op10_decontaminate,
 }
