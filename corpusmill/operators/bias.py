@@ -144,36 +144,40 @@ def score_sentences(sentences: DataFrame, index: DataFrame, key: str, sentence:
     {type}_evaluators and {type}_coverage; totalBiasWords, totalDerogatory,
     totalColloquial, multiType, totalCoverage, long_sentence. Sentences of fewer
     than six tokens have a zero score. Entries of an unknown type match, but pair
-    in no type. ``key`` must identify sentences.
+    in no type. ``key`` must identify sentences. Only matched positions are
+    exploded; they are grouped by sentence and type, then by sentence.
     """
-    m = matched_tokens(sentences, index, key, sentence).withColumn("totalWords", F.size("emitted"))
-    enough = F.col("totalWords") >= MIN_WORDS
-    # a barrier keeps the walk over tokens from being repeated in every expression that reads it
-    numbered = m.withColumn(
-        "found",
-        F.filter(F.transform("emitted", lambda x, i: F.struct(i.alias("i"), x["entry"].alias("e"))), lambda x: enough & x["e"].isNotNull()),
-    ).drop("emitted")
-    count = lambda p: F.size(F.filter("found", p))
-    of = lambda t, f: F.transform(F.filter("found", lambda x: x["e"][f] & (~x["e"]["typed"] | (x["e"]["bias_type"] == t))), lambda x: x["i"])
-    out = numbered
-    for t in TYPES:
-        out = out.withColumn(f"__s_{t}", of(t, "signal")).withColumn(f"__m_{t}", of(t, "modifier"))
-        out = out.withColumn(f"__p_{t}", _paired(F.col(f"__s_{t}"), F.col(f"__m_{t}")))
-        out = out.withColumn(f"{t}_signals", F.size(f"__s_{t}")).withColumn(f"{t}_evaluators", F.size(_among(F.col(f"__m_{t}"), F.col(f"__p_{t}"))))
-        out = out.withColumn(f"{t}_coverage", F.coalesce(F.try_divide(F.size(f"__p_{t}"), F.col("totalWords")), F.lit(0.0)))
-    coverage = F.lit(0.0)
-    for t in TYPES:
-        coverage = coverage + F.col(f"{t}_coverage")
-    return (
-        out.withColumn("matchedLemmas", F.array_distinct(F.transform("found", lambda x: x["e"]["word"])))
-        .withColumn("totalBiasWords", count(lambda x: F.coalesce(x["e"]["evaluative"], F.lit(False))))
-        .withColumn("totalDerogatory", count(lambda x: x["e"]["derogatory"]))
-        .withColumn("totalColloquial", count(lambda x: x["e"]["colloquial"]))
-        .withColumn("multiType", sum(((F.size(f"__p_{t}") > 0).cast("int") for t in TYPES), F.lit(0)) >= 2)
-        .withColumn("totalCoverage", coverage)
-        .withColumn("long_sentence", F.col("totalWords") > LONG_SENTENCE)
-        .drop("found", *[f"__{k}_{t}" for t in TYPES for k in "smp"])
+    walked = matched_tokens(sentences, index, key, sentence)
+    at = F.transform("emitted", lambda x, i: F.struct(i.alias("__i"), x["entry"].alias("e")))
+    found = walked.select(key, F.size("emitted").alias("words"), F.filter(at, lambda x: x["e"].isNotNull()).alias("f"))
+    rows = found.where(F.col("words") >= MIN_WORDS).select(key, F.explode("f").alias("f")).select(key, "f.__i", "f.e.*")
+    totals = rows.groupBy(key).agg(
+        F.array_distinct(F.transform(F.array_sort(F.collect_list(F.struct("__i", "word"))), lambda x: x["word"])).alias("matchedLemmas"),
+        F.count_if(F.coalesce("evaluative", F.lit(False))).cast("int").alias("totalBiasWords"),
+        F.count_if("derogatory").cast("int").alias("totalDerogatory"),
+        F.count_if("colloquial").cast("int").alias("totalColloquial"),
     )
+    kinds = F.when(F.col("typed"), F.array("bias_type")).otherwise(F.array(*[F.lit(t) for t in TYPES]))
+    by_type = rows.select(key, "__i", "signal", "modifier", F.explode(kinds).alias("kind")).groupBy(key, "kind").agg(
+        F.collect_list(F.when(F.col("signal"), F.col("__i"))).alias("s"), F.collect_list(F.when(F.col("modifier"), F.col("__i"))).alias("m")
+    )
+    paired = by_type.select(key, "kind", F.size("s").alias("n_s"), "m", _paired(F.col("s"), F.col("m")).alias("p"))
+    sized = paired.select(key, "kind", "n_s", F.size(_among(F.col("m"), F.col("p"))).alias("n_m"), F.size("p").alias("n_p"))
+    of = lambda t, c: F.coalesce(F.max(F.when(F.col("kind") == t, F.col(c))), F.lit(0))
+    wide = sized.groupBy(key).agg(
+        *[e for t in TYPES for e in (of(t, "n_s").alias(f"{t}_signals"), of(t, "n_m").alias(f"{t}_evaluators"), of(t, "n_p").alias(f"{t}_pairs"))]
+    )
+    out = sentences.join(found.select(key, F.col("words").alias("totalWords")), key).join(totals, key, "left").join(wide, key, "left")
+    numbers = [f"{t}_{k}" for t in TYPES for k in ("signals", "evaluators", "pairs")] + ["totalBiasWords", "totalDerogatory", "totalColloquial"]
+    filled = out.fillna(0, numbers).withColumn("matchedLemmas", F.coalesce("matchedLemmas", F.array().cast("array<string>")))
+    share = {t: F.coalesce(F.try_divide(F.col(f"{t}_pairs"), F.col("totalWords")), F.lit(0.0)) for t in TYPES}
+    coverage, types = F.lit(0.0), F.lit(0)
+    for t in TYPES:
+        coverage, types = coverage + share[t], types + (F.col(f"{t}_pairs") > 0).cast("int")
+    return filled.withColumns(
+        {f"{t}_coverage": share[t] for t in TYPES}
+        | {"multiType": types >= 2, "totalCoverage": coverage, "long_sentence": F.col("totalWords") > LONG_SENTENCE}
+    ).drop(*[f"{t}_pairs" for t in TYPES])
 
 
 def pair_coverage(kind: str | None) -> Column:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -86,17 +87,20 @@ def run(
         pairs = dedup.duplicate_pairs(new, old, similar)
         if config.remove_duplicates:
             gone = dedup.flagged(new, similar).select(F.col("file").alias("doc_id"), "line_no")
-            current = dedup.remove_flagged(current, gone, size=config.shingle_size).select("doc_id", "text")
+            current = dedup.remove_flagged(current, gone, size=config.shingle_size).select("doc_id", "text").persist(StorageLevel.DISK_ONLY)
     source = raw.join(current.select("doc_id"), "doc_id", "left_semi") if config.sentences_from == "raw" else current
-    sentences = counts.sentence_rows(source).withColumn("sid", F.struct("doc_id", "sent_no"))
-    scored = sentences
+    # several stages read the sentences; stored blocks are computed again if an executor is lost
+    sentences = counts.sentence_rows(source).persist(StorageLevel.DISK_ONLY)
+    scored = sentences.select("doc_id", "sent_no")
     if not config.skip_pii:
-        scored = pii.score_sentences(scored, policy=config.policy).select("sid", "doc_id", "sent_no", "sentence", F.col("piiCoverage").alias("pii"))
+        found = pii.score_sentences(sentences, policy=config.policy).select("doc_id", "sent_no", F.col("piiCoverage").alias("pii"))
+        scored = scored.join(found, ["doc_id", "sent_no"])
     else:
         scored = scored.withColumn("pii", F.lit(None).cast("double"))
     if not config.skip_bias and lexicon is not None:
-        index = bias.form_index(lexicon)
-        scored = bias.score_sentences(scored, index, "sid").select("sid", "doc_id", "sent_no", "sentence", "pii", F.col("totalCoverage").alias("bias"))
+        named = sentences.withColumn("sid", F.struct("doc_id", "sent_no"))
+        found = bias.score_sentences(named, bias.form_index(lexicon), "sid").select("doc_id", "sent_no", F.col("totalCoverage").alias("bias"))
+        scored = scored.join(found, ["doc_id", "sent_no"])
     else:
         scored = scored.withColumn("bias", F.lit(None).cast("double"))
     stems = current.select(F.col("doc_id").cast("string").alias("stem"))
@@ -111,5 +115,5 @@ def run(
         "doc_id",
     )
     return PipelineResult(
-        current, sentences.drop("sid"), full, pairs, blocklist, tally.where("NumberSentences = 0"), raw if config.keep_backups else None
+        current, sentences, full, pairs, blocklist, tally.where("NumberSentences = 0"), raw if config.keep_backups else None
     )
