@@ -241,6 +241,14 @@ def _sorted_anchors(h, c, d, p):
     return h[order], c[order], d[order], p[order]
 
 
+def _sorted_windows(w, d, s):
+    """Windows by hash and place; one place, which several anchors may show, counts once."""
+    order = np.lexsort((s, d, w))
+    w, d, s = w[order], d[order], s[order]
+    once = _new(w, d, s)
+    return w[once], d[once], s[once]
+
+
 def _cut(buckets: int, width: int):
     """Batches of (key, text) to packed anchors; of equal ones in a batch only the first."""
 
@@ -391,9 +399,7 @@ def _surroundings(buckets: int, width: int):
                     body = _compress(np.concatenate([bodies[i] for i in own.tolist()]).tobytes())
                     rows.append((int(bucket[own[0]]), _COLD, len(meta).to_bytes(4, "little") + meta + body))
             if wide:
-                w, d, s = (np.concatenate(x) for x in zip(*wide))
-                order = np.lexsort((s, d, w))
-                w, d, s = w[order], d[order], s[order]
+                w, d, s = _sorted_windows(*(np.concatenate(x) for x in zip(*wide)))
                 first = _new(w)
                 a, b, e = _merged(d[~first], s[~first], s[~first] + np.int32(width))
                 rows += [(k, _RUNS, x) for k, x in _dealt((_mix(a.view(np.uint64)) % np.uint64(buckets)).astype(np.int32), a, b, e)]
@@ -449,8 +455,7 @@ def _compare(width: int):
                     a = b
             w, d, s = _all(held, _SPREAD, np.uint64, np.int64, np.int32)
             if len(w):
-                order = np.lexsort((s, d, w))
-                w, d, s = w[order], d[order], s[order]
+                w, d, s = _sorted_windows(w, d, s)
                 gone = ~_new(w)
                 runs.append([d[gone], s[gone], s[gone] + np.int32(width)])
             yield _judged(*_merged(*(np.concatenate(x) for x in zip(*runs))), None, None)
