@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from .common import add_columns
 
 #: Bounds of what a worker keeps: transitions, compatible pairs, encoded pieces.
-MAX_TRANSITIONS, MAX_PAIRS, MAX_PIECES = 500_000, 600_000, 350_000
+MAX_TRANSITIONS, MAX_PAIRS, MAX_PIECES = 500_000, 400_000, 180_000
 #: Pieces longer than this are encoded anew each time, so kept pieces stay small.
 LONGEST_KEPT = 64
 #: Bytes that a piece may have open before settled tokens are emitted.
