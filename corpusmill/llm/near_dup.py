@@ -9,10 +9,11 @@ registers that agree by chance, comes near the threshold, and are links if the
 full sets say so.
 
 Documents with the same set are one class, handled through its smallest id.
-Within a band's bucket members are first compared with the smallest one only;
-what is not yet connected is then compared pair by pair, so no link that could
-join two components is lost, and large groups of copies cost one comparison for
-each member.
+Within a band's bucket members are first compared with the smallest one only, and
+then those of other components with the largest one. What is still apart is
+compared pair by pair by sketches, in blocks, so no link that could join two
+components is lost, and large groups of copies cost a few comparisons for each
+member. Ids are integers.
 
 Defined results: documents without text or words have the empty set and link
 with nothing; fewer words than a shingle are one shingle; repeated ids with the
@@ -37,6 +38,10 @@ SHINGLE, REGISTERS, BAND, MANTISSA = 5, 128, 5, 10
 SLACK = 4.0
 #: Members that one task compares with the same hub.
 HUB_MEMBERS = 2000
+#: Members of a block of a bucket.
+BLOCK = 1024
+#: Documents to verify, up to which their ids are broadcast to pick the texts; beyond, texts are shuffled.
+BROADCAST_KEYS = 1_000_000
 #: Words whose hashes a task keeps.
 MAX_WORDS = 400_000
 
@@ -198,6 +203,69 @@ def _likely(pairs: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
     return joined.mapInArrow(run, pairs.select("a", "b").schema)
 
 
+def _apart(members: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
+    """Likely pairs (a, b) of a bucket's members in different components.
+
+    Buckets are cut into blocks, and pairs of blocks are compared within a task;
+    only pairs whose estimate comes near the threshold leave it.
+    """
+    rows = members.select("band", "key", "component").join(reps.select("key", "n", "registers"), "key")
+    sizes = rows.groupBy("band").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
+    cut = rows.join(sizes, "band").withColumn("block", F.pmod(F.xxhash64("key"), "blocks").cast("int"))
+    tiles = cut.withColumn("with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    tiles = tiles.withColumn("one", F.least("block", "with")).withColumn("two", F.greatest("block", "with"))
+    dealt = tiles.select("band", "one", "two", "block", "key", "n", "component", "registers").repartition(
+        shuffle_partitions(reps.sparkSession), "band", "one", "two"
+    )
+    t = percent / 100
+
+    def tile(block, key, n, component, registers, one, two):
+        left, right = np.flatnonzero(block == one), np.flatnonzero(block == two)
+        for start in range(0, len(left), 256):
+            some = left[start : start + 256]
+            apart = component[some][:, None] < component[right][None, :]
+            if one != two:
+                apart |= component[some][:, None] > component[right][None, :]
+            low, high = np.minimum(n[some][:, None], n[right]), np.maximum(n[some][:, None], n[right])
+            i, j = np.nonzero(apart & (low * 100 >= high * percent))
+            i, j = some[i], right[j]
+            for at in range(0, len(i), 50_000):
+                p, q = i[at : at + 50_000], j[at : at + 50_000]
+                error = np.sqrt(t * (1 - t) / np.minimum(REGISTERS, np.minimum(n[p], n[q])))
+                near = estimate(registers[p], registers[q], n[p], n[q]) >= t - SLACK * error
+                yield key[p[near]], key[q[near]]
+
+    def run(batches):
+        held, now = [], None
+
+        def close():
+            table = pa.Table.from_batches(held)
+            block, key, n, component = (table.column(c).to_numpy() for c in ("block", "key", "n", "component"))
+            registers = np.frombuffer(b"".join(table.column("registers").to_pylist()), "<u2").reshape(-1, REGISTERS)
+            a, b = (np.concatenate(x) for x in zip(*([(key[:0], key[:0])] + list(tile(block, key, n.astype(float), component, registers, *now[1:])))))
+            return a, b
+
+        for batch in batches:
+            ids = list(zip(*(batch.column(c).to_pylist() for c in ("band", "one", "two"))))
+            start, out = 0, []
+            for at in range(1, len(ids) + 1):
+                if at == len(ids) or ids[at] != ids[start]:
+                    if ids[start] != now and held:
+                        out.append(close())
+                        held.clear()
+                    now = ids[start]
+                    held.append(batch.slice(start, at - start))
+                    start = at
+            if out:
+                a, b = (np.concatenate(x) for x in zip(*out))
+                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
+        if held:
+            a, b = close()
+            yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
+
+    return dealt.sortWithinPartitions("band", "one", "two").mapInArrow(run, "a long, b long")
+
+
 def verified(pairs: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
     """Pairs (a, b) with 100 * intersection >= percent * union of their full sets.
 
@@ -248,7 +316,11 @@ def verified(pairs: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
     schema = T.StructType(
         [T.StructField("hub", kind), T.StructField("share", T.IntegerType()), T.StructField("key", kind), T.StructField("shingles", T.BinaryType())]
     )
-    loaded = routes.join(docs.select("key", "text"), "key")
+    needed = routes.select("key").distinct()
+    texts = docs.select("key", "text")
+    if needed.limit(BROADCAST_KEYS + 1).count() <= BROADCAST_KEYS:
+        texts = texts.join(F.broadcast(needed), "key", "left_semi")
+    loaded = routes.join(texts.hint("merge"), "key")
     routed = loaded.select("hub", "share", "key", "text").mapInArrow(sets, schema)
     met = routed.repartition(shuffle_partitions(docs.sparkSession), "hub", "share").sortWithinPartitions(
         "hub", "share", F.col("key") != F.col("hub")
@@ -258,7 +330,7 @@ def verified(pairs: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
 
 def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", percent: int = 80) -> DataFrame:
     """key, n_shingles and component (smallest key reachable by links) of every row."""
-    docs = df.select(F.col(key).alias("key"), F.col(text).alias("text"))
+    docs = df.select(F.col(key).cast("long").alias("key"), F.col(text).alias("text"))
     drawn = materialize(sketches(docs), "sketches")
     classes = drawn.where("n > 0").groupBy("set_id", "n").agg(F.min("key").alias("rep"))
     classed = materialize(drawn.select("key", "n", "set_id").join(classes, ["set_id", "n"], "left").select("key", "n", "rep"), "classes")
@@ -274,23 +346,24 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", perc
         likely = materialize(_likely(pairs, reps, percent), "likely")
         return materialize(verified(likely, docs, percent), "near-links")
 
+    def unconnected(found: DataFrame) -> DataFrame:
+        """Members of buckets that hold more than one component."""
+        labels = components(found).withColumnRenamed("node", "key")
+        named = shared.join(labels, "key", "left").withColumn("component", F.coalesce("component", "key"))
+        named = materialize(named, "named")
+        mixed = named.groupBy("band").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.max("key").alias("last"))
+        return named.join(mixed.where("low < high").select("band", "last"), "band")
+
     star = shared.where("key <> hub").select(F.col("hub").alias("a"), F.col("key").alias("b")).distinct()
-    first = links(star)
-    labels = components(first)
-    named = shared.join(labels.withColumnRenamed("node", "key"), "key", "left").select(
-        "band", "key", "n", F.coalesce("component", "key").alias("component")
-    )
-    named = materialize(named, "named")
-    mixed = named.groupBy("band").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high")
-    rest = named.join(mixed.select("band"), "band")
-    other = rest.select("band", F.col("key").alias("b"), F.col("n").alias("nb"), F.col("component").alias("cb"))
-    across = rest.join(other, "band").where(
-        (F.col("component") < F.col("cb"))
-        & (F.least("n", "nb") * 100 >= F.greatest("n", "nb") * percent)
-    )
-    second = across.select(F.col("key").alias("a"), "b").distinct().join(star, ["a", "b"], "left_anti")
-    second = second.join(star.select(F.col("b").alias("a"), F.col("a").alias("b")), ["a", "b"], "left_anti")
-    joined = components(first.unionByName(links(second)))
+    found = links(star)
+    # then with the largest member, which joins most of what is left of a large group of copies
+    left = unconnected(found)
+    ends = left.where("key = last").select("band", F.col("key").alias("a"), F.col("component").alias("end"))
+    second = left.join(ends, "band").where(F.col("component") != F.col("end")).select("a", F.col("key").alias("b")).distinct()
+    found = materialize(found.unionByName(links(second)), "near-links")
+    # then whatever pairs of a bucket are still apart and alike enough by their sketches
+    third = materialize(_apart(unconnected(found), reps, percent).distinct(), "likely")
+    joined = components(found.unionByName(verified(third, docs, percent)))
     return classed.join(joined.withColumnRenamed("node", "rep"), "rep", "left").select(
         F.col("key").alias(key),
         F.col("n").alias("n_shingles"),
