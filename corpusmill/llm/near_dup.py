@@ -40,6 +40,10 @@ SLACK = 4.0
 HUB_MEMBERS = 2000
 #: Members of a block of a bucket.
 BLOCK = 1024
+#: Sets of up to so many shingles are kept beside the sketch, 32 bits of each hash.
+SHORT = 512
+#: Cells of a table of sets by shingles that a task builds at a time to count what pairs share.
+CELLS = 16_000_000
 #: Documents to verify, up to which their ids are broadcast to pick the texts; beyond, texts are shuffled.
 BROADCAST_KEYS = 1_000_000
 #: Words whose hashes a task keeps.
@@ -142,12 +146,13 @@ SKETCH = T.StructType(
         T.StructField("n", T.LongType()),
         T.StructField("set_id", T.BinaryType()),
         T.StructField("registers", T.BinaryType()),
+        T.StructField("short", T.BinaryType()),
     ]
 )
 
 
 def sketches(docs: DataFrame) -> DataFrame:
-    """key, n, set_id (128 bits that stand for the set) and registers of (key, text)."""
+    """key, n, set_id (128 bits that stand for the set), registers and, of small sets, short hashes of (key, text)."""
     schema = T.StructType([T.StructField("key", docs.schema["key"].dataType), *SKETCH.fields])
 
     def run(batches):
@@ -157,11 +162,12 @@ def sketches(docs: DataFrame) -> DataFrame:
             for text in batch.column("text"):
                 s = shingler.shingles(text.as_py())
                 ident = np.array([s.sum(dtype=np.uint64), _mix(s * _PLACE[62]).sum(dtype=np.uint64)], "<u8").tobytes()
-                rows.append((len(s), ident, sketch(s).astype("<u2").tobytes()))
-            n, ident, registers = zip(*rows) if rows else ((), (), ())
+                few = (s & np.uint64(0xFFFFFFFF)).astype("<u4").tobytes() if len(s) <= SHORT else None
+                rows.append((len(s), ident, sketch(s).astype("<u2").tobytes(), few))
+            kinds = (pa.int64(), pa.binary(), pa.binary(), pa.binary())
+            columns = zip(*rows) if rows else [()] * 4
             yield pa.RecordBatch.from_arrays(
-                [batch.column("key"), pa.array(n, pa.int64()), pa.array(ident, pa.binary()), pa.array(registers, pa.binary())],
-                names=["key", *SKETCH.names],
+                [batch.column("key"), *[pa.array(c, k) for c, k in zip(columns, kinds)]], names=["key", *SKETCH.names]
             )
 
     return docs.mapInArrow(run, schema)
@@ -203,23 +209,56 @@ def _likely(pairs: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
     return joined.mapInArrow(run, pairs.select("a", "b").schema)
 
 
+def _shared(codes: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """How many hashes each two of some sets share, and how many a set has more than distinct ones."""
+    n = len(codes)
+    owner = np.repeat(np.arange(n), [len(c) for c in codes])
+    known, at = np.unique(np.concatenate(codes), return_inverse=True)
+    spare = np.array([len(c) - len(np.unique(c)) for c in codes])
+    often = np.bincount(at, minlength=len(known)) > 1  # a hash of one set only is shared by none
+    place = np.cumsum(often) - 1
+    owner, at = owner[often[at]], place[at[often[at]]]
+    order = np.argsort(at, kind="stable")
+    owner, at = owner[order], at[order]
+    width, out = max(1, CELLS // max(n, 1)), np.zeros((n, n), np.float32)
+    for first in range(0, int(often.sum()), width):
+        i, j = np.searchsorted(at, (first, first + width))
+        table = np.zeros((n, min(width, int(often.sum()) - first)), np.float32)
+        table[owner[i:j], at[i:j] - first] = 1
+        out += table @ table.T
+    return out, spare
+
+
 def _apart(members: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
     """Likely pairs (a, b) of a bucket's members in different components.
 
     Buckets are cut into blocks, and pairs of blocks are compared within a task;
-    only pairs whose estimate comes near the threshold leave it.
+    only pairs whose estimate comes near the threshold leave it. Of two small sets
+    the short hashes must reach the threshold, too: they can only share more than
+    the sets do, so no link is lost.
     """
-    rows = members.select("band", "key", "component").join(reps.select("key", "n", "registers"), "key")
+    rows = members.select("band", "key", "component").join(reps.select("key", "n", "registers", "short"), "key")
     sizes = rows.groupBy("band").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
     cut = rows.join(sizes, "band").withColumn("block", F.pmod(F.xxhash64("key"), "blocks").cast("int"))
     tiles = cut.withColumn("with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     tiles = tiles.withColumn("one", F.least("block", "with")).withColumn("two", F.greatest("block", "with"))
-    dealt = tiles.select("band", "one", "two", "block", "key", "n", "component", "registers").repartition(
+    dealt = tiles.select("band", "one", "two", "block", "key", "n", "component", "registers", "short").repartition(
         shuffle_partitions(reps.sparkSession), "band", "one", "two"
     )
     t = percent / 100
 
-    def tile(block, key, n, component, registers, one, two):
+    def tile(block, key, n, component, registers, short, one, two):
+        small = np.array([x is not None for x in short])
+        shared, spare = _shared([np.frombuffer(x or b"", "<u4") for x in short]) if small.any() else (None, None)
+
+        def reach(p, q):
+            """Whether pairs of small sets can reach the threshold; others may."""
+            both = small[p] & small[q]
+            if not both.any():
+                return np.ones(len(p), bool)
+            most = shared[p, q] + spare[p]
+            return ~both | (100 * most >= percent * (n[p] + n[q] - most))
+
         left, right = np.flatnonzero(block == one), np.flatnonzero(block == two)
         for start in range(0, len(left), 256):
             some = left[start : start + 256]
@@ -233,6 +272,8 @@ def _apart(members: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
                 p, q = i[at : at + 50_000], j[at : at + 50_000]
                 error = np.sqrt(t * (1 - t) / np.minimum(REGISTERS, np.minimum(n[p], n[q])))
                 near = estimate(registers[p], registers[q], n[p], n[q]) >= t - SLACK * error
+                p, q = p[near], q[near]
+                near = reach(p, q)
                 yield key[p[near]], key[q[near]]
 
     def run(batches):
@@ -242,7 +283,9 @@ def _apart(members: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
             table = pa.Table.from_batches(held)
             block, key, n, component = (table.column(c).to_numpy() for c in ("block", "key", "n", "component"))
             registers = np.frombuffer(b"".join(table.column("registers").to_pylist()), "<u2").reshape(-1, REGISTERS)
-            a, b = (np.concatenate(x) for x in zip(*([(key[:0], key[:0])] + list(tile(block, key, n.astype(float), component, registers, *now[1:])))))
+            short = table.column("short").to_pylist()
+            found = list(tile(block, key, n.astype(float), component, registers, short, *now[1:]))
+            a, b = (np.concatenate(x) for x in zip(*[(key[:0], key[:0]), *found]))
             return a, b
 
         for batch in batches:
@@ -337,7 +380,7 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", perc
     # sets of up to t / (1 - t) shingles reach the threshold only if they are equal
     least = percent // (100 - percent) + (percent % (100 - percent) > 0)
     firsts = classes.where(F.col("n") >= least).select(F.col("rep").alias("key"), "n")
-    reps = materialize(drawn.select("key", "n", "registers").join(firsts, ["key", "n"], "left_semi"), "reps")
+    reps = materialize(drawn.select("key", "n", "registers", "short").join(firsts, ["key", "n"], "left_semi"), "reps")
     keyed = materialize(_banded(reps), "bands")
     hubs = keyed.groupBy("band").agg(F.min("key").alias("hub"), F.max("key").alias("most")).where("hub < most").drop("most")
     shared = materialize(keyed.join(hubs, "band"), "buckets")
