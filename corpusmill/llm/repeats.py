@@ -467,7 +467,7 @@ def removals(df: DataFrame, key: str = "doc_id", text: str = "text", width: int
     """(key, runs) of documents that lose bytes: array of start and end, unsorted, overlapping, ends not clipped."""
     spark = df.sparkSession
     parts = shuffle_partitions(spark)
-    buckets = 8 * parts
+    buckets = 2 * parts
     docs = df.select(F.col(key).cast("long").alias("key"), F.col(text).alias("text"))
 
     def dealt(frame: DataFrame) -> DataFrame:
