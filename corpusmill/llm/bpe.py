@@ -64,7 +64,7 @@ class BpeTransducer:
                 node = self._child.get(key) or self._grow(key)
             self._token[node] = rank
         self._edges: dict[int, tuple | None] = {}
-        self._reset()
+        self.forget()
 
     def _grow(self, key: int) -> int:
         self._child[key] = node = len(self._token)
@@ -72,7 +72,7 @@ class BpeTransducer:
         self._depth.append(self._depth[key >> 8] + 1)
         return node
 
-    def _reset(self) -> None:
+    def forget(self) -> None:
         """Forget all states; they are built again when reached."""
         self._ids: dict[tuple[int, ...], _State] = {}
         self._follows: dict[int, _Follows] = {}
@@ -172,7 +172,7 @@ class BpeTransducer:
         if whole is not None:
             return [whole]
         if self.transitions >= MAX_TRANSITIONS or self.pairs >= MAX_PAIRS:
-            self._reset()
+            self.forget()
         out: list[int] = []
         last = [-1]  # by bytes read since the last token emitted: the token that ends there
         state = self._start
@@ -233,6 +233,11 @@ class Encoder(dict):
             self[piece] = packed
         return packed
 
+    def forget(self) -> None:
+        """Drop what has been gathered; the vocabulary stays."""
+        self.clear()
+        self.transducer.forget()
+
     def encode(self, text: str | None) -> bytes:
         """Ids as little-endian unsigned 32-bit integers."""
         if len(self) > MAX_PIECES:
@@ -344,7 +349,12 @@ def encode(df: DataFrame, ranks_path: str, pattern: str, text: str = "text", ids
 
     def make():
         encoder = _encoder(ranks_path, pattern)
-        return lambda texts: {ids: [encoder.encode(x) for x in texts]}
+
+        def work(texts):
+            return {ids: [encoder.encode(x) for x in texts]}
+
+        work.close = encoder.forget  # an idle worker keeps the vocabulary only
+        return work
 
     return add_columns(df, make, text, **{ids: T.BinaryType()})
 

@@ -61,7 +61,8 @@ def add_columns(
     """Add columns computed batch by batch from the column ``source``.
 
     ``make`` runs once per task and returns a function from a list of values to
-    the new columns. No rows move; a lost task is computed again from its input.
+    the new columns; if that has a method ``close``, it is called at the end of
+    the task. No rows move; a lost task is computed again from its input.
     """
     schema = with_column_schema(df, **added)
     kept = [f.name for f in schema.fields if f.name not in added]
@@ -69,11 +70,14 @@ def add_columns(
 
     def run(batches: Iterable[pa.RecordBatch]):
         work = make()
-        for batch in batches:
-            new = work(batch.column(source).to_pylist())
-            cols = [batch.column(k) for k in kept]
-            cols += [v if isinstance(v := new[k], pa.Array) else pa.array(v, arrow[k]) for k in arrow]
-            yield pa.RecordBatch.from_arrays(cols, names=[*kept, *arrow])
+        try:
+            for batch in batches:
+                new = work(batch.column(source).to_pylist())
+                cols = [batch.column(k) for k in kept]
+                cols += [v if isinstance(v := new[k], pa.Array) else pa.array(v, arrow[k]) for k in arrow]
+                yield pa.RecordBatch.from_arrays(cols, names=[*kept, *arrow])
+        finally:
+            getattr(work, "close", lambda: None)()
 
     return df.mapInArrow(run, schema)
 
