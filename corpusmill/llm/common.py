@@ -11,6 +11,10 @@ from pyspark.sql import DataFrame, SparkSession, types as T
 from pyspark.sql import functions as F
 
 
+#: Rows whose values a worker holds as Python objects at a time.
+ROWS_AT_ONCE = 1000
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the input tables, read by Spark so that any Hadoop path works."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -71,11 +75,13 @@ def add_columns(
     def run(batches: Iterable[pa.RecordBatch]):
         work = make()
         try:
-            for batch in batches:
-                new = work(batch.column(source).to_pylist())
-                cols = [batch.column(k) for k in kept]
-                cols += [v if isinstance(v := new[k], pa.Array) else pa.array(v, arrow[k]) for k in arrow]
-                yield pa.RecordBatch.from_arrays(cols, names=[*kept, *arrow])
+            for whole in batches:
+                for start in range(0, len(whole), ROWS_AT_ONCE):
+                    batch = whole.slice(start, ROWS_AT_ONCE)
+                    new = work(batch.column(source).to_pylist())
+                    cols = [batch.column(k) for k in kept]
+                    cols += [v if isinstance(v := new[k], pa.Array) else pa.array(v, arrow[k]) for k in arrow]
+                    yield pa.RecordBatch.from_arrays(cols, names=[*kept, *arrow])
         finally:
             getattr(work, "close", lambda: None)()
 
