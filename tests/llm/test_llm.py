@@ -301,6 +301,56 @@ def test_suffix_tree_sums_to_one(monkeypatch):
         assert sum(10.0 ** np.array(logs)) == pytest.approx(1.0)
 
 
+def test_suffix_tree_rare_contexts(spark, monkeypatch):
+    """Contexts that are a small share of all tokens, and long ones, count; all scores equal brute force."""
+    monkeypatch.setattr(suffix_tree, "BLOCK_BYTES", 100_000)
+    monkeypatch.setattr(suffix_tree, "BUCKET_TOKENS", 10_000, raising=False)
+    rng = random.Random(9)
+    rows = [(i, " ".join(f"w{int(rng.expovariate(0.02))}" for _ in range(60))) for i in range(2500)]
+    for i in range(0, 2500, 25):  # the last of these words is set by the one four before it
+        x = rng.choice("pq")
+        rows[i] = (i, f"{x} r s t {x}{x} " + rows[i][1])
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    held = F.col("doc_id") % 7 == 3
+    got = {r.doc_id: r for r in suffix_tree.score(df, held).collect()}
+    texts = {k: ["\n", *t.split(), "\n"] for k, t in rows}
+    count = Counter(w for k, t in texts.items() if k % 7 != 3 for w in t[1:])
+    total, distinct = sum(count.values()), len(count)
+    after = {}
+    for k, t in texts.items():
+        for level in range(1, suffix_tree.DEPTH + 1):
+            for i in range(level, len(t)):
+                if k % 7 != 3:
+                    after.setdefault(tuple(t[i - level : i]), Counter())[t[i]] += 1
+    known = {}
+
+    def model(context):
+        """(named next words, factor of the others)"""
+        if context not in known:
+            n, named, size = after.get(context, {}), {}, sum(after.get(context, {}).values())
+            if size >= 16:
+                for w, k in n.items():
+                    p, above = (k - 0.5) / size, probability(context[1:], w)
+                    if k >= 4 and (p >= 1.5 * above or p * 1.5 <= above):
+                        named[w] = (p, above)
+            if sum(p * math.log(p / a) for p, a in named.values()) * size < 20:
+                named = {}
+            p, a = (sum(x[i] for x in named.values()) for i in (0, 1))
+            known[context] = {w: x[0] for w, x in named.items()}, max(1 - p, 1e-9) / max(1 - a, 1e-9)
+        return known[context]
+
+    def probability(context, w):
+        if not context:
+            return (count[w] + 0.1) / (total + 0.1 * (distinct + 1))
+        named, rest = model(context)
+        return named[w] if w in named else rest * probability(context[1:], w)
+
+    for k, t in texts.items():
+        want = sum(math.log10(probability(tuple(t[max(0, i - suffix_tree.DEPTH) : i]), t[i])) for i in range(1, len(t)))
+        assert got[k].score == pytest.approx(want, abs=1e-3)
+    assert any(len(c) == 4 and named for c, (named, _) in known.items())
+
+
 # --- 9 -----------------------------------------------------------------------------------------
 
 
