@@ -527,6 +527,19 @@ def s12(spark, sf_dir):
     return description.text_counts(turns).select("doc_id", F.col("NumberWords").cast("long").alias("NumberWords"), "NumberSentences")
 
 
+@query(
+    "s12_text_counts_all",
+    rf"""WITH turns AS (SELECT conv_id * 1000 + turn AS doc_id, text FROM conversations), {LINES.replace("FROM documents", "FROM turns")},
+pieces AS (SELECT {{'turn': doc_id, 'line': line_no}} AS doc_id, raw AS text FROM lines_raw), {SPLIT.replace("FROM documents", "FROM pieces")},
+counted AS (SELECT doc_id.turn AS doc_id, list_sum(list_transform(s, lambda x: {SPACED.format('x')})) AS w, len(s) AS n FROM split)
+SELECT doc_id, CAST(coalesce(sum(w), 0) AS BIGINT) AS "NumberWords", CAST(coalesce(sum(n), 0) AS INTEGER) AS "NumberSentences", CAST(count(n) AS INTEGER) AS "NumberParagraphs"
+FROM turns LEFT JOIN counted USING (doc_id) GROUP BY doc_id""",
+)
+def s12_all(spark, sf_dir):
+    turns = _t(spark, sf_dir, "conversations").select((F.col("conv_id") * 1000 + F.col("turn")).alias("doc_id"), "text")
+    return description.text_counts(turns).select("doc_id", F.col("NumberWords").cast("long").alias("NumberWords"), "NumberSentences", "NumberParagraphs")
+
+
 # --- metadata --------------------------------------------------------------------------------
 
 

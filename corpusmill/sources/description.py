@@ -61,8 +61,8 @@ def selected(description: DataFrame, included: Callable[[Column], Column], exclu
 
 
 def text_counts(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(key, NumberWords, NumberSentences, NumberParagraphs, NumberTokens): every line is a paragraph, sentences are found line by line."""
-    cut = docs.select(key, java_lines(text).alias("l")).withColumn("s", F.flatten(F.transform("l", split_text)))
+    """(key, NumberWords, NumberSentences, NumberParagraphs, NumberTokens): every line is a paragraph, sentences are found line by line; null has none."""
+    cut = docs.select(key, java_lines(F.coalesce(F.col(text), F.lit(""))).alias("l")).withColumn("s", F.flatten(F.transform("l", split_text)))
     add = lambda f: F.aggregate("s", F.lit(0), lambda n, x: n + f(x))
     return cut.select(
         key,

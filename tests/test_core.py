@@ -192,6 +192,21 @@ def test_description(spark):
     assert (got.Identifier, got.Licence, got.PublicationDate, got.NumberParagraphs, got.NumberSentences) == ("bg_bnc_a", "Restricted", "1-2-2003", 3, 3)
 
 
+def test_text_counts_of_lines(spark, tmp_path):
+    """The query over all turns, null and many-line ones too, equals its SQL."""
+    import duckdb
+
+    texts = ["One is. Two is.\n\nx y", None, "", "\n", "A b.\r\nC d! E f?\n", "One line. Two."]
+    rows = [(i // 2, i % 2, t) for i, t in enumerate(texts)]
+    path = str(tmp_path / "conversations.parquet")
+    spark.createDataFrame(rows, "conv_id long, turn int, text string").write.parquet(path)
+    got = sorted(map(tuple, registry.queries()["s12_text_counts_all"](spark, str(tmp_path)).collect()))
+    con = duckdb.connect()
+    con.sql(f"CREATE VIEW conversations AS SELECT * FROM '{path}/*.parquet'")
+    assert got == sorted(con.sql(registry.oracles()["s12_text_counts_all"]).fetchall())
+    assert got == [(0, 6, 3, 3), (1, 0, 0, 0), (1000, 0, 0, 0), (1001, 0, 0, 1), (2000, 6, 3, 2), (2001, 3, 2, 1)]
+
+
 def test_pipeline(spark):
     docs = spark.createDataFrame([(1, "Boiler line here\nOne is a test. Two is a test."), (2, "Boiler line here\nmail me at a@b.org now")], "doc_id int, text string")
     found = pipeline.run(docs, pipeline.PipelineConfig(boilerplate_threshold=0.9), sample=docs)
