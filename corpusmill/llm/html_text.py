@@ -3,10 +3,10 @@
 A page is read as blocks of text, each with the path of block elements above it.
 For every path the text length and the punctuation per block are added up over
 the page, smoothed over the blocks in page order, weakened by the share of link
-text and fused to one score. Paths over a threshold are content. The innermost
-container that holds nearly all content is the article; blocks in it are kept
-unless their path is made of links or they stand in an element for menus, forms,
-notices, adverts, comments and the like.
+text and fused to one score. Paths over a threshold are content, and so are
+headings in front of it; the smallest container that holds all of it is the
+article. Blocks of content are kept unless their path is made of links or they
+stand in an element for menus, forms, notices, adverts, comments and the like.
 
 Text: character references decoded, white space inside a block made one space
 and trimmed, blocks joined by a line feed in page order; ``<br>`` is white space.
@@ -34,6 +34,7 @@ INLINE = frozenset(
     "samp small span strike strong sub sup time tt u var wbr".split()
 )
 DROPPED = frozenset("head nav header footer aside form button menu dialog fieldset datalist frameset".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 CONTAINERS = frozenset("html body article main section div td center".split())
 #: Words in class, id or role that mark an element as no part of the article.
 MARKS = frozenset(
@@ -45,8 +46,6 @@ MARKS = frozenset(
 )
 #: A path whose smoothed score is below this share of the best one is no content.
 THRESHOLD = 0.15
-#: A container must hold this share of all content to be the article.
-HOLDS = 0.8
 #: A path with this share of link text is a list of links.
 LINKS = 0.9
 
@@ -66,10 +65,10 @@ _CLOSES = {k: frozenset(v.split()) for k, v in {"li": "li p", "dt": "dt dd p", "
 
 
 class _Element:
-    __slots__ = ("tag", "parent", "path", "dropped", "mass")
+    __slots__ = ("tag", "parent", "path", "dropped")
 
     def __init__(self, tag: str, parent: _Element | None, dropped: bool):
-        self.tag, self.parent, self.dropped, self.mass = tag, parent, dropped, 0.0
+        self.tag, self.parent, self.dropped = tag, parent, dropped
         self.path = (parent.path if parent else "") + "/" + tag
 
 
@@ -149,11 +148,8 @@ def blocks(page: str) -> list[tuple[_Element, str, int]]:
     return out
 
 
-def extract(page: str | None) -> str:
-    """The article text of one page."""
-    found = blocks(page or "")
-    if not found:
-        return ""
+def _content(found: list) -> list[bool]:
+    """Of each block, whether its path's score passes the threshold and the path is no list of links."""
     sums: dict[str, list[float]] = {}
     for element, text, linked in found:
         s = sums.setdefault(element.path, [0, 0, 0, 0])
@@ -170,36 +166,19 @@ def extract(page: str | None) -> str:
         own = s * log(2 + marks / n) if links < LINKS * sums[element.path][1] else 0.0
         fused[element.path] = fused.get(element.path, 0.0) + own / n
     bar = THRESHOLD * max(fused.values())
-    total = 0.0
-    for element, text, _ in found:
-        if fused[element.path] >= bar:
-            total += len(text)
-            above = element
-            while above:
-                above.mass += len(text)
-                above = above.parent
-    article = None
-    for element, _, _ in found:
-        above, steps = element, []
-        while above:
-            steps.append(above)
-            above = above.parent
-        for e in steps:
-            if (e.tag in CONTAINERS or not e.parent) and e.mass >= HOLDS * total:
-                if article is None or len(e.path) > len(article.path):
-                    article = e
-                break
-    kept = []
-    for element, text, _ in found:
-        n, chars, _, links = sums[element.path]
-        if links >= LINKS * chars and n > 1:
-            continue
-        above = element
-        while above and above is not article:
-            above = above.parent
-        if above:
-            kept.append(text)
-    return "\n".join(kept)
+    links = {p for p, (n, chars, _, linked) in sums.items() if linked >= LINKS * chars and n > 1}
+    return [fused[e.path] >= bar and e.path not in links for e, _, _ in found]
+
+
+def extract(page: str | None) -> str:
+    """The article text of one page."""
+    found = blocks(page or "")
+    if not found:
+        return ""
+    passes = _content(found)
+    for i in range(len(found) - 2, -1, -1):  # a heading goes with what it stands before
+        passes[i] |= found[i][0].tag in HEADINGS and passes[i + 1] and found[i][2] < LINKS * len(found[i][1])
+    return "\n".join(text for (_, text, _), kept in zip(found, passes) if kept)
 
 
 def extract_text(df: DataFrame, source: str = "html", text: str = "text") -> DataFrame:

@@ -178,6 +178,24 @@ def test_html():
     assert [html_text.extract(x) for x in (None, "", "plain  text", "<p>a<p>b</p></div>c<!-- x")] == ["", "", "plain text", "a\nb\nc"]
 
 
+SENTENCE = "Here is a sentence, with some words, of the article. "
+
+
+def page_of(*parts):
+    return f"<html><body>{''.join(parts)}</body></html>"
+
+
+def test_html_keeps_all_content():
+    """Text is kept by its own path, wherever it stands; nothing is lost outside the largest container."""
+    lead, body = f"<p>Lead. {SENTENCE}</p>", "<p>" + "</p><p>".join(f"{i} {SENTENCE * 2}" for i in range(9)) + "</p>"
+    got = html_text.extract(page_of(f"<article><div class=lead>{lead}</div><div class=body>{body}</div></article>")).split("\n")
+    assert len(got) == 10 and got[0].startswith("Lead.")
+    got = html_text.extract(page_of(f"<main><section><h2>One</h2>{lead}</section><section><h2>Two</h2>{body}</section></main>")).split("\n")
+    assert len(got) == 12 and got[:3] == ["One", f"Lead. {SENTENCE}".strip(), "Two"]
+    got = html_text.extract(page_of(f"<article>{body}<ul><li>x</li><li>y</li></ul></article>")).split("\n")
+    assert len(got) == 9  # a path under the threshold is no content, also inside the article
+
+
 def test_html_rows(spark):
     df = spark.createDataFrame([(1, PAGE, "own"), (2, None, "own")], "page_id int, html string, TEXT string")
     assert html_text.extract_text(df).columns == ["page_id", "html", "text"] and html_text.extract_text(df).count() == 2
