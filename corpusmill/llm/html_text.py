@@ -8,6 +8,11 @@ headings in front of it; the smallest container that holds all of it is the
 article. Blocks of content are kept unless their path is made of links or they
 stand in an element for menus, forms, notices, adverts, comments and the like.
 
+An element is of that kind by its tag, or by a word in its class, id or role. A
+word counts only where all elements with it hold a minor share of the page's
+content, or outside an article or main element that holds enough of it, and never
+drops the article or main element with most of the content, nor what that stands in.
+
 Text: character references decoded, white space inside a block made one space
 and trimmed, blocks joined by a line feed in page order; ``<br>`` is white space.
 Defined results: a null or empty page has the empty text; a page without tags is
@@ -42,10 +47,14 @@ MARKS = frozenset(
     "menu menubar breadcrumb breadcrumbs footer sidebar sidebars widget widgets complementary contentinfo search comment "
     "comments commentlist disqus respond reply replies cookie cookies consent gdpr notice notices alert popup modal "
     "newsletter subscribe subscription signup login share sharing social related recommended recommendations trending "
-    "pagination pager toolbar skip masthead topbar copyright disclaimer hidden".split()
+    "pagination pager toolbar skip masthead topbar copyright disclaimer".split()
 )
 #: A path whose smoothed score is below this share of the best one is no content.
 THRESHOLD = 0.15
+#: A word whose elements hold this share of all content or more marks none of them.
+MAJOR = 0.5
+#: An article or main element with this share of all content tells apart what is outside it, whatever that holds.
+ENOUGH = 0.1
 #: A path with this share of link text is a list of links.
 LINKS = 0.9
 
@@ -56,8 +65,8 @@ _TOKEN = re.compile(
     r"|<[!?/][^>]*>",
     re.DOTALL | re.IGNORECASE,
 )
-_ATTR = re.compile(r"""\b(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.IGNORECASE)
-_HIDDEN = re.compile(r"""\bhidden\b(?!\s*=\s*["']?false)|display\s*:\s*none|aria-hidden\s*=\s*["']?true""", re.IGNORECASE)
+_ATTR = re.compile(r"""([^\s"'<>/=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+)))?""")
+_HIDDEN = re.compile(r"(?:^|;)\s*(?:display\s*:\s*none|visibility\s*:\s*hidden)\b", re.IGNORECASE)
 _WORDS = re.compile(r"[a-z]+|[A-Z][a-z]*")
 _PUNCTUATION = re.compile(r"[.,;:!?。，；：！？、]")
 # Start tags that end an open element of the listed kinds.
@@ -65,22 +74,34 @@ _CLOSES = {k: frozenset(v.split()) for k, v in {"li": "li p", "dt": "dt dd p", "
 
 
 class _Element:
-    __slots__ = ("tag", "parent", "path", "dropped")
+    __slots__ = ("tag", "parent", "path", "dropped", "marks", "mass")
 
-    def __init__(self, tag: str, parent: _Element | None, dropped: bool):
-        self.tag, self.parent, self.dropped = tag, parent, dropped
+    def __init__(self, tag: str, parent: _Element | None, dropped: bool, marks: frozenset = frozenset()):
+        self.tag, self.parent, self.dropped, self.marks, self.mass = tag, parent, dropped, marks, 0
         self.path = (parent.path if parent else "") + "/" + tag
 
+    def above(self):
+        """The element and all that it stands in."""
+        own = self
+        while own:
+            yield own
+            own = own.parent
+
 
-def _marked(rest: str) -> bool:
-    if "hidden" in rest or "display" in rest:
-        if _HIDDEN.search(rest):
-            return True
+def _marks(rest: str) -> tuple[bool, frozenset]:
+    """Whether attributes hide an element, and the words in them that may mark it as no part of the article."""
+    hidden, words = False, set()
     for m in _ATTR.finditer(rest):
-        value = m[2] or m[3] or m[4] or ""
-        if any(w.lower() in MARKS for w in _WORDS.findall(value)):
-            return True
-    return False
+        name, value = m[1].lower(), m[2] or m[3] or m[4] or ""
+        if name == "hidden":
+            hidden |= value.lower() != "false"
+        elif name == "aria-hidden":
+            hidden |= value.strip().lower() == "true"
+        elif name == "style":
+            hidden |= bool(_HIDDEN.search(value))
+        elif name in ("class", "id", "role"):
+            words.update(w.lower() for w in _WORDS.findall(value))
+    return hidden, frozenset(words & MARKS)
 
 
 def blocks(page: str) -> list[tuple[_Element, str, int]]:
@@ -115,11 +136,11 @@ def blocks(page: str) -> list[tuple[_Element, str, int]]:
                 add(" ")
             elif tag == "a":
                 linked[0] = 0 if m["end"] else 1
-            elif not m["end"] and rest and stack[-1].tag not in INLINE and _marked(rest) and not rest.endswith("/"):
+            elif not m["end"] and rest and stack[-1].tag not in INLINE and any(marks := _marks(rest)) and not rest.endswith("/"):
                 flush()
-                stack.append(_Element(tag, stack[-1], True))
+                stack.append(_Element(tag, stack[-1], stack[-1].dropped or marks[0], marks[1]))
             elif m["end"] and stack[-1].tag == tag:
-                text.clear()
+                flush()
                 stack.pop()
             continue
         flush()
@@ -139,8 +160,8 @@ def blocks(page: str) -> list[tuple[_Element, str, int]]:
                 continue
             above = stack[-1]
             inside = any(e.tag in ("article", "main") for e in stack) if tag == "header" else False
-            dropped = above.dropped or (tag in DROPPED and not inside) or (bool(rest) and tag not in ("html", "body") and _marked(rest))
-            stack.append(_Element(tag, above, dropped))
+            hidden, marks = _marks(rest) if rest and tag not in ("html", "body") else (False, frozenset())
+            stack.append(_Element(tag, above, above.dropped or (tag in DROPPED and not inside) or hidden, marks))
         elif tag in VOID:
             add(" ")
     add(page[at:])
@@ -170,9 +191,47 @@ def _content(found: list) -> list[bool]:
     return [fused[e.path] >= bar and e.path not in links for e, _, _ in found]
 
 
+def _unmarked(found: list) -> list:
+    """The blocks without those in elements that a word of their attributes marks."""
+    if not any(e.marks for element, _, _ in found for e in element.above()):
+        return found
+    total, held, main = 0, {}, None
+    for (element, text, _), passes in zip(found, _content(found)):
+        if not passes:
+            continue
+        total += len(text)
+        for word in {w for e in element.above() for w in e.marks}:
+            held[word] = held.get(word, 0) + len(text)
+        for e in element.above():
+            e.mass += len(text)
+            if e.tag in ("article", "main") and (main is None or e.mass > main.mass):
+                main = e
+    spared = set(map(id, main.above())) if main else set()
+    apart = main is not None and main.mass >= ENOUGH * total
+
+    def minor(e: _Element) -> bool:
+        if not e.marks or id(e) in spared:
+            return False
+        return apart and main not in e.above() or any(held.get(w, 0) < MAJOR * total for w in e.marks)
+
+    gone: dict[int, bool] = {}
+
+    def dropped(e: _Element | None) -> bool:
+        steps = []
+        while e and id(e) not in gone:
+            steps.append(e)
+            e = e.parent
+        out = bool(e) and gone[id(e)]
+        for e in reversed(steps):
+            out = gone[id(e)] = out or minor(e)
+        return out
+
+    return [b for b in found if not dropped(b[0])] if total else found
+
+
 def extract(page: str | None) -> str:
     """The article text of one page."""
-    found = blocks(page or "")
+    found = _unmarked(blocks(page or ""))
     if not found:
         return ""
     passes = _content(found)

@@ -196,6 +196,27 @@ def test_html_keeps_all_content():
     assert len(got) == 9  # a path under the threshold is no content, also inside the article
 
 
+@pytest.mark.parametrize(
+    "attributes",
+    ['style="overflow:hidden"', 'class="overflow-hidden"', 'data-x="hidden"', 'class="elementor-widget"', 'class="content-with-sidebar"', 'id="search-guide"'],
+)
+def test_html_loose_marks(attributes):
+    """Words in attributes do not drop what the page is about."""
+    body = "".join(f"<p>{SENTENCE * 2}</p>" for _ in range(6))
+    want = "\n".join([(SENTENCE * 2).strip()] * 6)
+    for tag in ("article", "main", "div"):
+        assert html_text.extract(page_of(f"<{tag} {attributes}>{body}</{tag}>")) == want
+    assert html_text.extract(page_of(f"<div {attributes}><article>{body}</article></div>")) == want
+    assert html_text.extract(page_of(*[f"<div {attributes}><p>{SENTENCE * 2}</p></div>" for _ in range(6)])) == want
+
+
+@pytest.mark.parametrize("attributes", ["hidden", 'hidden=""', 'style="color:red; display: none"', "style='visibility:hidden'", "aria-hidden=true", "class=comments", "id=sidebar"])
+def test_html_marks(attributes):
+    body = f"<article><p>{SENTENCE * 3}</p></article>"
+    assert html_text.extract(page_of(body, f"<div {attributes}><p>{SENTENCE * 2}</p></div>")) == (SENTENCE * 3).strip()
+    assert html_text.extract(page_of(f"<article><p>{SENTENCE}</p></article>", f"<div {attributes}><p>{SENTENCE * 4}</p></div>")) == SENTENCE.strip()
+
+
 def test_html_rows(spark):
     df = spark.createDataFrame([(1, PAGE, "own"), (2, None, "own")], "page_id int, html string, TEXT string")
     assert html_text.extract_text(df).columns == ["page_id", "html", "text"] and html_text.extract_text(df).count() == 2
