@@ -1,11 +1,13 @@
 """Benchmark decontamination by a positional inverted index.
 
-The index is distributed by document: each task turns its documents into term
-postings, a shard at a time, and answers all test windows from them. A window
-is looked up from its rarest term in the shard: that term's positions, adjusted
-by its offset in the window, are intersected with the positions of the next
-rarer terms until none is left or the whole phrase is found. Proximity matches
-let every term stand up to ``slack`` places off. No posting leaves its task.
+Nothing is stored: each task turns its documents into postings of the test terms,
+a shard at a time, answers all test windows from them and throws them away. A
+window is looked up from its rarest term in the shard: that term's positions,
+adjusted by its offset in the window, are candidates, which are verified against
+the documents' terms in place (a forward array), next rarer term first; posting
+lists are not intersected. Proximity matches let every other term stand up to
+``slack`` places off from where the rarest one puts it, so two terms may be
+``2 * slack`` off from each other. No posting leaves its task.
 
 Words are ``[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+`` after lower-casing A-Z.
 Defined results: a null or wordless text has no words and no hits; a null or
