@@ -11,8 +11,11 @@ from pyspark.sql import DataFrame, SparkSession, types as T
 from pyspark.sql import functions as F
 
 
-#: Rows whose values a worker holds as Python objects at a time.
+#: Rows whose values a worker holds as Python objects at a time, and rows of a batch that Spark sends it.
 ROWS_AT_ONCE = 1000
+BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+#: Keys that hold more than one in so many rows are frequent: there are fewer than so many of them.
+HOT_SHARE = 1000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -20,14 +23,24 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Let Spark send workers a bounded number of rows at a time; both sides hold a batch whole, with all its texts."""
+    if not 0 < int(spark.conf.get(BATCH_ROWS)) <= ROWS_AT_ONCE:
+        spark.conf.set(BATCH_ROWS, str(ROWS_AT_ONCE))
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder that the driver and all executors see.
 
-    The cluster names it in ``spark.checkpoint.dir``; a temporary folder is used
-    only where that setting is absent, as on one machine in tests.
+    The cluster names it in ``spark.checkpoint.dir``. Where that is absent, a
+    temporary folder serves a session that runs on one machine, as in tests; on a
+    cluster other machines would not see it, so that is an error.
     """
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
+        master = spark.conf.get("spark.master", "")
+        if master != "local" and not master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         found = "file://" + tempfile.mkdtemp(prefix="corpusmill-")
         spark.conf.set("spark.checkpoint.dir", found)
     return found.rstrip("/")
@@ -40,6 +53,7 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     several later steps read one result without computing it again.
     """
     spark = df.sparkSession
+    small_batches(spark)
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
@@ -55,6 +69,20 @@ def forget(*tables: DataFrame) -> None:
     SparkSession.active()._jvm.System.gc()  # Spark deletes the files of a shuffle when the driver's collector finds its plan gone
 
 
+def join_keyed(rows: DataFrame, keyed: DataFrame, on: str, n: str, how: str = "inner") -> DataFrame:
+    """Join ``keyed``, which has each key once and in ``n`` how many rows hold it, to ``rows``; ``n`` is dropped.
+
+    Frequent keys, of which there are fewer than ``HOT_SHARE``, are joined by
+    broadcast, so their rows meet in no task; the others by a shuffle. ``how`` is
+    inner or left. Both tables are read twice and should be materialized.
+    """
+    total = keyed.agg(F.sum(n)).head()[0] or 0
+    often = F.col(n) * HOT_SHARE > total
+    hot = F.broadcast(keyed.where(often).drop(n))
+    rest = rows.join(hot.select(on), on, "left_anti")
+    return rows.join(hot, on).unionByName(rest.join(keyed.where(~often).drop(n), on, how))
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
@@ -78,6 +106,7 @@ def add_columns(
     the new columns; if that has a method ``close``, it is called at the end of
     the task. No rows move; a lost task is computed again from its input.
     """
+    small_batches(df.sparkSession)
     schema = with_column_schema(df, **added)
     kept = [f.name for f in schema.fields if f.name not in added]
     arrow = {f.name: _arrow(f.dataType) for f in schema.fields if f.name in added}

@@ -6,11 +6,16 @@ only the frame it needs. The index maps record ids to bundle, frame and offset
 within the frame.
 
 Records with equal payloads: the one with the smallest id is a ``response``, the
-others are ``revisit`` records, which refer to it and have no payload.
+others are ``revisit`` records, which refer to it and have no payload. Who
+revisits whom is found from ids and digests alone; payloads move at most once, by
+id, so copies of one payload gather nowhere.
 
 Defined results: a null payload is the empty payload; rows that repeat an id are
-all written; equal payloads shorter than ``min_bytes`` are not made revisits; an
-empty table gives no bundles.
+all written, and those with equal payloads are all responses or all revisits; a
+null id is written as ``none``, read back as null, revisits the smallest id with
+its payload, and is a response if only null ids have that; equal payloads shorter
+than ``min_bytes`` are not made revisits; an empty table gives no bundles; other
+columns do not matter.
 """
 
 from __future__ import annotations
@@ -26,7 +31,7 @@ from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession, types as T
 from pyspark.sql import functions as F
 
-from .common import materialize, shared_dir, shuffle_partitions
+from .common import join_keyed, materialize, shared_dir, shuffle_partitions, small_batches
 
 # Fixed values of the seekable format.
 SKIPPABLE_MAGIC, SEEK_MAGIC = 0x184D2A5E, 0x8F92EAB1
@@ -61,17 +66,26 @@ def digest(payload: bytes) -> str:
     return base64.b32encode(hashlib.sha1(payload).digest()).decode()
 
 
-def record(record_id: int, url: str | None, payload: bytes | None, sha: str, size: int, refers_to: int | None) -> bytes:
+def _urn(record_id: int | None) -> str:
+    return f"<urn:record:{'none' if record_id is None else record_id}>"
+
+
+def _number(urn: str) -> int | None:
+    name = urn[len("<urn:record:") : -1]
+    return None if name == "none" else int(name)
+
+
+def record(record_id: int | None, url: str | None, payload: bytes | None, sha: str, size: int, refers_to: int | None) -> bytes:
     """One WARC/1.1 record; without a payload it is a revisit of ``refers_to``."""
     kind = "response" if refers_to is None else "revisit"
     http = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {size}\r\n\r\n".encode()
     block = http + (payload or b"")
-    head = ["WARC/1.1", f"WARC-Type: {kind}", f"WARC-Record-ID: <urn:record:{record_id}>"]
+    head = ["WARC/1.1", f"WARC-Type: {kind}", f"WARC-Record-ID: {_urn(record_id)}"]
     if url is not None:
         head.append("WARC-Target-URI: " + url.replace("\r", "%0D").replace("\n", "%0A"))
     head.append(f"WARC-Payload-Digest: sha1:{sha}")
     if refers_to is not None:
-        head.append(f"WARC-Refers-To: <urn:record:{refers_to}>")
+        head.append(f"WARC-Refers-To: {_urn(refers_to)}")
         head.append("WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest")
     head += ["Content-Type: application/http; msgtype=response", f"Content-Length: {len(block)}"]
     return "\r\n".join(head).encode("utf-8", "replace") + b"\r\n\r\n" + block + b"\r\n\r\n"
@@ -92,13 +106,12 @@ def parse(data: bytes, at: int = 0) -> tuple[tuple, int]:
     if payload is None:
         http = data[start:body].decode("ascii")
         size = int(http.split("Content-Length: ")[1].split("\r\n")[0])
-        refers = int(head["WARC-Refers-To"][len("<urn:record:") : -1])
+        refers = _number(head["WARC-Refers-To"])
     else:
         size, refers = len(payload), None
         if digest(payload) != sha:
             raise ValueError("the payload does not match its digest")
-    number = int(head["WARC-Record-ID"][len("<urn:record:") : -1])
-    return (number, head.get("WARC-Target-URI"), kind, sha, size, refers, payload), stop + 4
+    return (_number(head["WARC-Record-ID"]), head.get("WARC-Target-URI"), kind, sha, size, refers, payload), stop + 4
 
 
 class BundleWriter:
@@ -160,26 +173,29 @@ class BundleReader:
 
 
 def plan(pages: DataFrame, key: str, url: str, payload: str, min_bytes: int = 0) -> DataFrame:
-    """Give each record its payload, digest, size and the record it revisits, if any.
+    """Give each record its digest, size, the record it revisits, if any, and else its payload.
 
-    Only ids and digests are grouped, with partial minima first, so a payload
-    that a third of all records share gathers nowhere.
+    Ids and digests are grouped with partial minima first. Only ids that revisit
+    are joined back, by id and digest, so no key of a join is shared by many rows.
     """
     base = pages.select(
         F.col(key).cast("long").alias("record_id"),
         F.col(url).cast("string").alias("url"),
         F.coalesce(F.encode(F.col(payload), "UTF-8"), F.lit(b"")).alias("payload"),
     ).withColumn("sha", F.sha1("payload"))
-    firsts = base.where(F.octet_length("payload") >= min_bytes).groupBy("sha").agg(
-        F.min("record_id").alias("first"), F.count(F.lit(1)).alias("n")
-    )
-    shared = firsts.where("n > 1").drop("n")
-    return base.join(shared, "sha", "left").select(
+    own = base.where(F.octet_length("payload") >= min_bytes).select("record_id", "sha")
+    own = materialize(own, "warc-digests")
+    firsts = own.groupBy("sha").agg(F.min("record_id").alias("first"), F.count(F.lit(1)).alias("n"))
+    firsts = materialize(firsts.where("n > 1 and first is not null"), "warc-firsts")
+    copies = join_keyed(own, firsts, "sha", "n").where("record_id is null or first < record_id").distinct()
+    copies = materialize(copies.select(F.col("record_id").alias("id"), F.col("sha").alias("digest"), "first"), "warc-revisits")
+    same = F.col("record_id").eqNullSafe(F.col("id")) & (F.col("sha") == F.col("digest"))
+    return base.join(copies, same, "left").select(
         "record_id",
         "url",
         F.octet_length("payload").cast("long").alias("size"),
-        F.when(F.col("first") < F.col("record_id"), F.col("first")).alias("refers_to"),
-        "payload",
+        F.col("first").alias("refers_to"),
+        F.when(F.col("first").isNull(), F.col("payload")).alias("payload"),
         "sha",
     )
 
@@ -198,13 +214,14 @@ def write(planned: DataFrame, folder: str) -> DataFrame:
         for batch in batches:
             rows = []
             cols = [batch.column(k) for k in ("record_id", "url", "size", "refers_to", "payload", "sha")]
-            for number, url, size, refers, payload, sha in zip(*(c.to_pylist() for c in cols)):
+            for cells in zip(*cols):  # one payload at a time becomes a Python object
+                number, url, size, refers, payload, sha = (c.as_py() for c in cells)
                 if writer is None:
                     name = f"{uuid.uuid4().hex}.warc.zst"
                     out = files.open_output_stream(f"{root}/{name}", compression=None)
                     writer = BundleWriter(out)
                 sha = base64.b32encode(bytes.fromhex(sha)).decode()
-                data = record(number, url, payload if refers is None else None, sha, size, refers)
+                data = record(number, url, payload, sha, size, refers)
                 rows.append((number, name, *writer.add(data), len(data)))
                 if writer.written >= BUNDLE_BYTES:
                     writer.close()
@@ -228,6 +245,7 @@ def read(index: DataFrame, folder: str, with_payload: bool = True) -> DataFrame:
     bundles = index.groupBy("bundle").agg(F.max("frame").alias("last"))
     pieces = bundles.select("bundle", F.explode(F.sequence(F.lit(0), "last")).alias("frame"))
     schema = RECORD if with_payload else T.StructType(RECORD.fields[:-1])
+    small_batches(spark)
 
     def run(batches):
         files, root = fs.FileSystem.from_uri(folder)
@@ -244,6 +262,7 @@ def read(index: DataFrame, folder: str, with_payload: bool = True) -> DataFrame:
                     row, at = parse(data, at)
                     rows.append(row if with_payload else row[:-1])
                 yield _records(rows, with_payload)
+                del data, rows
         if file:
             file.close()
 
