@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 #: Rows whose values a worker holds as Python objects at a time, and rows of a batch that Spark sends it.
 ROWS_AT_ONCE = 1000
 BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+#: Lets Spark delete the files of a query's shuffles as soon as it has ended.
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 #: Keys that hold more than one in so many rows are frequent: there are fewer than so many of them.
 HOT_SHARE = 1000
 
@@ -50,23 +52,28 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as a table in the shared folder and read it back.
 
     Cuts the lineage in a way that survives the loss of executors, and lets
-    several later steps read one result without computing it again.
+    several later steps read one result without computing it again. Shuffle files
+    of the write go with its end.
     """
     spark = df.sparkSession
     small_batches(spark)
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    before = spark.conf.get(SHUFFLE_CLEANUP)
+    spark.conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(SHUFFLE_CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path)
 
 
 def forget(*tables: DataFrame) -> None:
-    """Delete tables that ``materialize`` wrote and nothing reads any more, and let Spark remove shuffle files of finished steps."""
+    """Delete tables that ``materialize`` wrote and nothing reads any more."""
     for df in tables:
         jvm, conf = df.sparkSession._jvm, df.sparkSession._jsc.hadoopConfiguration()
         for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
             path = jvm.org.apache.hadoop.fs.Path(folder)
             path.getFileSystem(conf).delete(path, True)
-    SparkSession.active()._jvm.System.gc()  # Spark deletes the files of a shuffle when the driver's collector finds its plan gone
 
 
 def join_keyed(rows: DataFrame, keyed: DataFrame, on: str, n: str, how: str = "inner") -> DataFrame:

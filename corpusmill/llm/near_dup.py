@@ -16,8 +16,10 @@ components is lost, and large groups of copies cost a few comparisons for each
 member. Ids are integers.
 
 Defined results: documents without text or words have the empty set and link
-with nothing; fewer words than a shingle are one shingle; repeated ids with the
-same set are one node; nulls in other columns do not matter.
+with nothing; fewer words than a shingle are one shingle; rows that repeat an id
+have a row each, and where their texts differ links of the id may stem from any of
+them; rows without an id are counted but link with nothing and have no component;
+other columns do not matter.
 """
 
 from __future__ import annotations
@@ -26,10 +28,10 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, types as T
+from pyspark.sql import DataFrame, Window, types as T
 from pyspark.sql import functions as F
 
-from .common import materialize, shuffle_partitions
+from .common import forget, join_keyed, materialize, shuffle_partitions
 from .graph import components
 
 #: Words of a shingle; registers; registers of a band; mantissa bits of a register.
@@ -43,11 +45,11 @@ BLOCK = 1024
 #: Sets of up to so many shingles are kept beside the sketch, 32 bits of each hash.
 SHORT = 512
 #: Cells of a table of sets by shingles that a task builds at a time to count what pairs share.
-CELLS = 16_000_000
+CELLS = 4_000_000
 #: Documents to verify, up to which their ids are broadcast to pick the texts; beyond, texts are shuffled.
 BROADCAST_KEYS = 1_000_000
 #: Words whose hashes a task keeps.
-MAX_WORDS = 400_000
+MAX_WORDS = 100_000
 
 _BUCKET_BITS = REGISTERS.bit_length() - 1
 _REST_BITS = 64 - _BUCKET_BITS
@@ -144,7 +146,7 @@ def estimate(x: np.ndarray, y: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.n
 SKETCH = T.StructType(
     [
         T.StructField("n", T.LongType()),
-        T.StructField("set_id", T.BinaryType()),
+        T.StructField("set_id", T.BinaryType()),  # 128 bits of hash and the size
         T.StructField("registers", T.BinaryType()),
         T.StructField("short", T.BinaryType()),
     ]
@@ -161,7 +163,7 @@ def sketches(docs: DataFrame) -> DataFrame:
             rows = []
             for text in batch.column("text"):
                 s = shingler.shingles(text.as_py())
-                ident = np.array([s.sum(dtype=np.uint64), _mix(s * _PLACE[62]).sum(dtype=np.uint64)], "<u8").tobytes()
+                ident = np.array([s.sum(dtype=np.uint64), _mix(s * _PLACE[62]).sum(dtype=np.uint64), len(s)], "<u8").tobytes()
                 few = (s & np.uint64(0xFFFFFFFF)).astype("<u4").tobytes() if len(s) <= SHORT else None
                 rows.append((len(s), ident, sketch(s).astype("<u2").tobytes(), few))
             kinds = (pa.int64(), pa.binary(), pa.binary(), pa.binary())
@@ -233,15 +235,31 @@ def _apart(members: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
     """Likely pairs (a, b) of a bucket's members in different components.
 
     Buckets are cut into blocks, and pairs of blocks are compared within a task;
-    only pairs whose estimate comes near the threshold leave it. Of two small sets
-    the short hashes must reach the threshold, too: they can only share more than
-    the sets do, so no link is lost.
+    only pairs whose estimate comes near the threshold leave it. A component of
+    more members than a block has blocks of its own, which do not meet each other,
+    so what a large group of copies leaves apart meets each of its members once.
+    Of two small sets the short hashes must reach the threshold, too: they can only
+    share more than the sets do, so no link is lost.
     """
-    rows = members.select("band", "key", "component").join(reps.select("key", "n", "registers", "short"), "key")
-    sizes = rows.groupBy("band").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
-    cut = rows.join(sizes, "band").withColumn("block", F.pmod(F.xxhash64("key"), "blocks").cast("int"))
-    tiles = cut.withColumn("with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    rows = members.select("band", "key", "component")
+    held = rows.groupBy("band", "component").agg(F.count(F.lit(1)).alias("held"))
+    own = F.when(F.col("held") > BLOCK, F.col("component"))
+    grouped = held.select("band", "component", own.alias("own"), "held")
+    sizes = grouped.groupBy("band", "own").agg(F.ceil(F.sum("held") / BLOCK).cast("int").alias("blocks"))
+    whole = Window.partitionBy("band")
+    upto = F.sum("blocks").over(whole.orderBy(F.col("own").asc_nulls_last()).rowsBetween(Window.unboundedPreceding, 0))
+    placed = sizes.select("band", "own", "blocks", (upto - F.col("blocks")).cast("int").alias("low"), F.sum("blocks").over(whole).cast("int").alias("all"))
+    dealt_to = grouped.select("band", "component", "own", "held").join(
+        placed.withColumnsRenamed({"band": "__band", "own": "__own"}), (F.col("band") == F.col("__band")) & F.col("own").eqNullSafe(F.col("__own"))
+    )
+    dealt_to = materialize(dealt_to.select(F.struct("band", "component").alias("part"), "held", "own", "blocks", "low", "all"), "parts")
+    cut = join_keyed(rows.withColumn("part", F.struct("band", "component")), dealt_to, "part", "held")
+    cut = cut.withColumn("block", F.col("low") + F.pmod(F.xxhash64("key"), "blocks").cast("int"))
+    apart = F.col("own").isNull()
+    others = F.filter(F.sequence(F.lit(0), F.col("all") - 1), lambda w: apart | (w < F.col("low")) | (w >= F.col("low") + F.col("blocks")))
+    tiles = cut.withColumn("with", F.explode(others))
     tiles = tiles.withColumn("one", F.least("block", "with")).withColumn("two", F.greatest("block", "with"))
+    tiles = tiles.join(reps.select("key", "n", "registers", "short"), "key")
     dealt = tiles.select("band", "one", "two", "block", "key", "n", "component", "registers", "short").repartition(
         shuffle_partitions(reps.sparkSession), "band", "one", "two"
     )
@@ -375,38 +393,53 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", perc
     """key, n_shingles and component (smallest key reachable by links) of every row."""
     docs = df.select(F.col(key).cast("long").alias("key"), F.col(text).alias("text"))
     drawn = materialize(sketches(docs), "sketches")
-    classes = drawn.where("n > 0").groupBy("set_id", "n").agg(F.min("key").alias("rep"))
-    classed = materialize(drawn.select("key", "n", "set_id").join(classes, ["set_id", "n"], "left").select("key", "n", "rep"), "classes")
+    classes = drawn.where("n > 0 and key is not null").groupBy("set_id").agg(F.min("key").alias("rep"), F.count(F.lit(1)).alias("copies"))
+    classes = materialize(classes, "classes")
+    classed = materialize(join_keyed(drawn.select("key", "n", "set_id"), classes, "set_id", "copies", "left").select("key", "n", "rep"), "classed")
     # sets of up to t / (1 - t) shingles reach the threshold only if they are equal
     least = percent // (100 - percent) + (percent % (100 - percent) > 0)
-    firsts = classes.where(F.col("n") >= least).select(F.col("rep").alias("key"), "n")
-    reps = materialize(drawn.select("key", "n", "registers", "short").join(firsts, ["key", "n"], "left_semi"), "reps")
+    firsts = classes.select(F.col("rep").alias("key"), "set_id")
+    reps = drawn.where(F.col("n") >= least).join(firsts, ["key", "set_id"], "left_semi").select("key", "n", "registers", "short")
+    reps = materialize(reps, "reps")
+    forget(drawn, classes)
     keyed = materialize(_banded(reps), "bands")
-    hubs = keyed.groupBy("band").agg(F.min("key").alias("hub"), F.max("key").alias("most")).where("hub < most").drop("most")
-    shared = materialize(keyed.join(hubs, "band"), "buckets")
+    hubs = keyed.groupBy("band").agg(F.min("key").alias("hub"), F.max("key").alias("last"), F.count(F.lit(1)).alias("members"))
+    hubs = materialize(hubs.where("hub < last"), "hubs")
+    shared = materialize(join_keyed(keyed, hubs, "band", "members"), "buckets")
+    forget(keyed)
 
     def links(pairs: DataFrame) -> DataFrame:
         likely = materialize(_likely(pairs, reps, percent), "likely")
-        return materialize(verified(likely, docs, percent), "near-links")
+        found = materialize(verified(likely, docs, percent), "near-links")
+        forget(likely)
+        return found
 
     def unconnected(found: DataFrame) -> DataFrame:
         """Members of buckets that hold more than one component."""
-        labels = components(found).withColumnRenamed("node", "key")
-        named = shared.join(labels, "key", "left").withColumn("component", F.coalesce("component", "key"))
+        labels = components(found)
+        named = shared.join(labels.withColumnRenamed("node", "key"), "key", "left").withColumn("component", F.coalesce("component", "key"))
         named = materialize(named, "named")
-        mixed = named.groupBy("band").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.max("key").alias("last"))
-        return named.join(mixed.where("low < high").select("band", "last"), "band")
+        mixed = named.groupBy("band").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count(F.lit(1)).alias("members"))
+        mixed = materialize(mixed.where("low < high").select("band", "members"), "mixed")
+        left = materialize(join_keyed(named, mixed, "band", "members"), "left")
+        forget(labels, named, mixed)
+        return left
 
     star = shared.where("key <> hub").select(F.col("hub").alias("a"), F.col("key").alias("b")).distinct()
     found = links(star)
     # then with the largest member, which joins most of what is left of a large group of copies
     left = unconnected(found)
-    ends = left.where("key = last").select("band", F.col("key").alias("a"), F.col("component").alias("end"))
-    second = left.join(ends, "band").where(F.col("component") != F.col("end")).select("a", F.col("key").alias("b")).distinct()
+    ends = left.where("key = last").groupBy("band").agg(F.max("key").alias("a"), F.max("component").alias("end"))
+    sizes = left.groupBy("band").agg(F.count(F.lit(1)).alias("members"))
+    ends = materialize(ends.join(sizes, "band"), "ends")
+    second = join_keyed(left, ends, "band", "members").where(F.col("component") != F.col("end")).select("a", F.col("key").alias("b")).distinct()
     found = materialize(found.unionByName(links(second)), "near-links")
+    forget(left, ends)
     # then whatever pairs of a bucket are still apart and alike enough by their sketches
-    third = materialize(_apart(unconnected(found), reps, percent).distinct(), "likely")
+    left = unconnected(found)
+    third = materialize(_apart(left, reps, percent).distinct(), "likely")
     joined = components(found.unionByName(verified(third, docs, percent)))
+    forget(left, third, found, shared, hubs)
     return classed.join(joined.withColumnRenamed("node", "rep"), "rep", "left").select(
         F.col("key").alias(key),
         F.col("n").alias("n_shingles"),
