@@ -9,9 +9,9 @@ credential.
 
 Defined results: a null text is the empty text without spans; owners or
 repositories that are null count as one owner or repository of their own;
-repeated documents count once per repository; overlapping spans of different
-kinds are all reported; columns of the same name as an output column are
-replaced.
+repeated documents count once per repository; rows that repeat a key, or have
+none, get the spans of their own text; overlapping spans of different kinds are
+all reported; other columns do not matter.
 """
 
 from __future__ import annotations
@@ -24,7 +24,7 @@ from collections import Counter
 from pyspark.sql import DataFrame, types as T
 from pyspark.sql import functions as F
 
-from .common import add_columns, materialize
+from .common import add_columns, join_keyed, materialize
 
 # The base kinds, in the order in which spans at one place are listed.
 ASSIGN = re.compile(
@@ -37,7 +37,7 @@ BASE = ("assign", "access", "hex")
 #: Further kinds, with what tells them apart.
 ADDED = {
     "private_key": re.compile(r"-----BEGIN [A-Z ]*PRIVATE KEY-----[A-Za-z0-9+/=\s]+-----END [A-Z ]*PRIVATE KEY-----"),
-    "jwt": re.compile(r"\beyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}"),
+    "jwt": re.compile(r"(?<![A-Za-z0-9_-])eyJ[A-Za-z0-9_-]{8,}+\.eyJ[A-Za-z0-9_-]{8,}+\.[A-Za-z0-9_-]{8,}"),
     "vendor": re.compile(r"\b(?:gh[pousr]_|xox[abprs]-|sk_live_|glpat-|AIza)[A-Za-z0-9_-]{16,}"),
     "random": re.compile(r"[A-Za-z0-9+/_-]{20,}"),
 }
@@ -85,16 +85,19 @@ def scan(text: str | None) -> list[tuple]:
         if m.end() - m.start() >= 20:
             found.append((1, *m.span(), m[0]))
     found += [(2, *m.span(), m[0]) for m in HEX.finditer(text)]
-    base = [(start, end) for _, start, end, _ in found]
+    taken = bytearray(len(text)) if found else bytearray()
+    for _, start, end, _ in found:
+        taken[start:end] = b"\1" * (end - start)
     for rank, (kind, pattern) in enumerate(ADDED.items(), len(BASE)):
         if kind == "random" and not any(c in text for c in "0123456789"):
             continue
         for m in pattern.finditer(text):
             start, end = m.span()
-            if kind == "random" and (not _looks_random(m[0]) or any(a < end and start < b for a, b in base)):
+            if kind == "random" and (not _looks_random(m[0]) or taken.find(1, start, end) >= 0):
                 continue
             found.append((rank, start, end, m[0]))
-            base.append((start, end))
+            taken = taken or bytearray(len(text))
+            taken[start:end] = b"\1" * (end - start)
     found.sort(key=lambda x: (x[1], x[0], x[2]))
     return [(KINDS[k], a, b, _hash(v), k, k not in (0, 2) or _bits(v) >= 2.5) for k, a, b, v in found]
 
@@ -117,19 +120,6 @@ def ownership(found: DataFrame, owner: str, repo: str) -> DataFrame:
     )
 
 
-#: Values with over one in so many occurrences are joined by broadcast: there are fewer than so many of them.
-HOT_SHARE = 1000
-
-
-def with_ownership(found: DataFrame, owned: DataFrame) -> DataFrame:
-    """Join the counts to the candidates; frequent values, of which there are few, by broadcast."""
-    total = owned.agg(F.sum("n_found").alias("total"))
-    hot = owned.crossJoin(F.broadcast(total)).where(F.col("n_found") * HOT_SHARE > F.col("total")).drop("total")
-    often = found.join(F.broadcast(hot), "value_hash")
-    seldom = found.join(F.broadcast(hot.select("value_hash")), "value_hash", "left_anti").join(owned, "value_hash")
-    return often.unionByName(seldom)
-
-
 def scan_corpus(
     df: DataFrame, key: str = "doc_id", text: str = "text", owner: str = "source", repo: str = "doc_id"
 ) -> DataFrame:
@@ -140,18 +130,20 @@ def scan_corpus(
     ``EXAMPLE_OWNERS`` owners hold and for repetitive ones.
     """
     texts = df.select(F.col(key).alias("key"), F.col(owner).alias("owner"), F.col(repo).alias("repo"), F.col(text).alias("text"))
-    scanned = materialize(candidates(texts).drop("text"), "secrets")
-    found = scanned.select("key", "owner", "repo", F.explode("candidates").alias("c")).select("key", "owner", "repo", "c.*")
+    scanned = candidates(texts).drop("text").withColumn("row", F.monotonically_increasing_id())
+    scanned = materialize(scanned, "secrets")  # rows keep their numbers from here on
+    found = scanned.select("row", "owner", "repo", F.explode("candidates").alias("c")).select("row", "owner", "repo", "c.*")
+    found = materialize(found, "candidates")
     owned = materialize(ownership(found, "owner", "repo"), "ownership")
-    judged = with_ownership(found.drop("owner", "repo"), owned).withColumn(
+    judged = join_keyed(found.drop("owner", "repo"), owned, "value_hash", "n_found").withColumn(
         "live", F.col("lively") & (F.col("n_owners") < EXAMPLE_OWNERS)
     )
     kept = judged.where((F.col("rank") < len(BASE)) | F.col("live"))
-    spans = kept.groupBy("key").agg(
+    spans = kept.groupBy("row").agg(
         F.array_sort(F.collect_list(F.struct("start", "rank", "end", "kind", "live"))).alias("spans")
     )
     empty = F.array().cast(spans.schema["spans"].dataType)
-    joined = scanned.select("key").join(spans, "key", "left").withColumn("spans", F.coalesce("spans", empty))
+    joined = scanned.select("key", "row").join(spans, "row", "left").withColumn("spans", F.coalesce("spans", empty))
     return joined.select(F.col("key").alias(key), "spans", F.filter("spans", lambda s: s["rank"] < len(BASE)).alias("base"))
 
 
@@ -175,9 +167,9 @@ def redact(df: DataFrame, text: str = "text", spans: str = "spans", mask: str =
             done = end
         return "".join(out) + row_text[done:]
 
-    packed = df.withColumn("__both", F.struct(text, spans))
+    packed = df.withColumn("__both", F.struct(F.col(text).alias("text"), F.col(spans).alias("spans")))
 
     def make():
-        return lambda rows: {text: [r[text] if not r[spans] else cut(r[text], r[spans]) for r in rows]}
+        return lambda rows: {text: [cut(r["text"], r["spans"]) if r["spans"] else r["text"] for r in rows]}
 
     return add_columns(packed, make, "__both", **{text: kind}).drop("__both").select(*df.columns)
