@@ -84,7 +84,7 @@ class Classifier:
     def predict(self, text: str | None, reject_below: float = 0.0) -> tuple[str, float]:
         """The language and its margin, from 0 to 1."""
         own = normal(text or "")
-        if not self.langs or not own.strip():
+        if not self.langs or not any(map(str.isalpha, text or "")):  # digits like ½ are no letters
             return UNKNOWN, 0.0
         for size, packers in self.steps:
             blocks = [own[i : i + size] for i in range(0, len(own), size)]
