@@ -1,8 +1,10 @@
 """Corpus pipeline: five stages from raw documents to token ids.
 
 Each stage takes (spark, docs, sf_dir) and works on all rows that the one before
-it kept. All but the last return the columns of ``documents``. Rows with a null
-id are carried through; a null text has no letter, so the first stage rejects it.
+it kept. All but the last return the columns of ``documents``. Decisions are
+carried by row, so rows that repeat an id, or have none, are judged one by one, and
+extra columns are carried through; a null text has no letter, so the first stage
+rejects it.
 """
 
 from __future__ import annotations
@@ -19,6 +21,13 @@ RANKS = "byte_bpe_50k.tiktoken"
 NEAR_PERCENT = 80
 #: Margin below which the language of a text of some length is rejected.
 REJECT_BELOW = 0.004
+#: Column that numbers rows within a stage.
+ROW = "__row"
+
+
+def numbered(docs: DataFrame) -> DataFrame:
+    """The rows with a number each, stored, so that a lost task does not number them anew."""
+    return materialize(docs.withColumn(ROW, F.monotonically_increasing_id()), "numbered")
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -31,9 +40,11 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep the document of smallest id of each group of near copies."""
-    found = near_dup.near_duplicates(docs, percent=NEAR_PERCENT)
-    gone = found.where("doc_id <> component_id").select(F.col("doc_id").alias("__gone")).distinct()
-    return docs.join(gone, docs["doc_id"] == gone["__gone"], "left_anti")
+    rows = numbered(docs)
+    found = near_dup.near_duplicates(rows, key=ROW, percent=NEAR_PERCENT).select(F.col(ROW).alias("row"), F.col("component_id").alias("group"))
+    ranked = F.struct(F.col("doc_id").isNull(), "doc_id", ROW)
+    first = found.join(rows.select("doc_id", ROW), F.col("row") == F.col(ROW)).groupBy("group").agg(F.min(ranked)[ROW].alias(ROW))
+    return rows.join(first, ROW, "left_semi").select(*docs.columns)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -43,10 +54,10 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Mask secrets in texts; all documents stay."""
-    found = secrets.scan_corpus(docs).where(F.size("spans") > 0).select(F.col("doc_id").alias("__id"), "spans")
-    joined = docs.join(found, docs["doc_id"] == found["__id"], "left").drop("__id")
-    masked = secrets.redact(joined).withColumn("n_chars", F.length("text").cast("long"))
-    return masked.select(*docs.columns)
+    rows = numbered(docs)
+    found = secrets.scan_corpus(rows, key=ROW, repo="doc_id").where(F.size("spans") > 0).select(ROW, F.col("spans").alias("__spans"))
+    masked = secrets.redact(rows.join(found, ROW, "left"), spans="__spans")
+    return masked.withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
