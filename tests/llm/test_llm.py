@@ -3,6 +3,7 @@
 import math
 import random
 import re
+import time
 import zlib
 from collections import Counter
 
@@ -284,6 +285,13 @@ def test_secrets(spark):
     assert out[2][0] == "assign:11:25" and out[3] == out[4] == ("", "")
     assert out[5][0] == "access:0:20,hex:21:45"
     assert out[6][0] == "assign:0:20"
+    odd = spark.createDataFrame([(1, "a", "token=abcdefgh", 1), (1, "a", "token=abcdefgh", 2), (1, "b", "xx token=abcdefgh", 3), (None, "c", "secret=zzzzzzz1", 4)], "doc_id int, source string, text string, spans int")
+    scanned = secrets.scan_corpus(odd).select("doc_id", secrets.render("base").alias("b")).collect()
+    assert sorted((str(r.doc_id), r.b) for r in scanned) == [("1", "assign:0:14"), ("1", "assign:0:14"), ("1", "assign:3:17"), ("None", "assign:0:15")]
+    for long_text in ("eyJ" * 100_000, "Zx9Yw8Vu7Ts6Rq5Po4Nm " * 20_000):  # linear in the text
+        began = time.time()
+        secrets.scan(long_text)
+        assert time.time() - began < 20
     assert all(out[10 + i][1] == "" for i in range(5))  # many owners: an example
     masked = secrets.redact(secrets.scan_corpus(df).join(df, "doc_id")).where("doc_id = 1").first().text
     assert masked == "[SECRET]' and key [SECRET] ok"
@@ -321,29 +329,23 @@ def test_suffix_tree(spark, monkeypatch):
     assert suffix_tree.score(df.limit(0), held).count() == 0
 
 
-def test_suffix_tree_sums_to_one(monkeypatch):
-    monkeypatch.setattr(suffix_tree, "GAIN", 0.0)
-    monkeypatch.setattr(suffix_tree, "RATIO", 1.1)
-    words = {w: n for w, n in zip((b"a", b"b", b"c", suffix_tree.END), (50, 30, 15, 5))}
-    tree = suffix_tree.Tree(words, 100, 4)
-    for level, candidates in ((1, np.array([1 << 32, 2 << 32])), (2, np.array([(1 << 32) + 2]))):
-        keys, n = [], []
-        for c in range(1, len(candidates) + 1):
-            for w, k in ((0, 40), (1, 2), (2, 30), (3, 8)) if c == level else ((0, 30), (1, 25), (3, 5)):
-                keys.append(c * tree.n_words + w)
-                n.append(k)
-        suffix_tree._grow(tree, level, candidates, {"key": np.array(keys), "n": np.array(n)}, 100)
-    for before in ([1], [2], [1, 2], [3]):
-        ids = np.array([[*before, w] for w in range(tree.n_words)])
-        root = np.log10(np.where(ids == 0, 0.1 / (100 + 0.5), tree.root[ids]))
-        logs = [tree.logs(i, r)[-1] for i, r in zip(ids, root)]
-        assert sum(10.0 ** np.array(logs)) == pytest.approx(1.0)
-
-
-def test_suffix_tree_rare_contexts(spark, monkeypatch):
+def test_tokens_of_bytes():
+    """Hashes tell words apart as strings do, wherever texts are cut, in any case, and however long a word is."""
+    rng = random.Random(12)
+    texts = ["".join(rng.choice("ab B\t\x0b\n\x00\x85é") for _ in range(rng.randint(0, 40))) for _ in range(300)]
+    texts += ["x" * 5000, "X" * 4999 + "y", "x" * 5000 + " " + "ab " * 200_000, "", " "]
+    want = [w for t in texts for w in [*re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), t)), None]]
+    ids, n = suffix_tree.tokens([t.encode() for t in texts])
+    assert n.sum() == len(ids) == len(want) and len(set(zip(ids.tolist(), want))) == len(set(want)) == len(set(ids.tolist()))
+
+
+@pytest.mark.parametrize("hot", [None, 60])
+def test_suffix_tree_rare_contexts(spark, monkeypatch, hot):
     """Contexts that are a small share of all tokens, and long ones, count; all scores equal brute force."""
     monkeypatch.setattr(suffix_tree, "BLOCK_BYTES", 100_000)
-    monkeypatch.setattr(suffix_tree, "BUCKET_TOKENS", 10_000, raising=False)
+    monkeypatch.setattr(suffix_tree, "BUCKET_TOKENS", 10_000)
+    if hot:
+        monkeypatch.setattr(suffix_tree, "HOT_CONTEXT", hot)
     rng = random.Random(9)
     rows = [(i, " ".join(f"w{int(rng.expovariate(0.02))}" for _ in range(60))) for i in range(2500)]
     for i in range(0, 2500, 25):  # the last of these words is set by the one four before it
@@ -388,6 +390,9 @@ def test_suffix_tree_rare_contexts(spark, monkeypatch):
         want = sum(math.log10(probability(tuple(t[max(0, i - suffix_tree.DEPTH) : i]), t[i])) for i in range(1, len(t)))
         assert got[k].score == pytest.approx(want, abs=1e-3)
     assert any(len(c) == 4 and named for c, (named, _) in known.items())
+    for context in [c for c, (named, _) in known.items() if named][:20]:  # with the words never seen, which share what is left at the root
+        unseen = math.prod(model(context[i:])[1] for i in range(len(context))) * 0.1 / (total + 0.1 * (distinct + 1))
+        assert sum(probability(context, w) for w in count) + unseen == pytest.approx(1)
 
 
 # --- 9 -----------------------------------------------------------------------------------------
@@ -406,6 +411,7 @@ def test_language(spark):
     got = {r.doc_id: r for r in langid.classify(df, model).collect()}
     assert sum(got[i].lang_pred == rows[i][2] for i in range(200)) >= 196
     assert [got[k].lang_pred for k in (300, 301, 302, 303)] == ["und", "und", "und", "xx"]
+    assert langid.Classifier(model).predict("½ ²³ _ 12") == ("und", 0.0)
     assert all(0 <= r.score <= 1 for r in got.values())
     assert langid.classify(df, langid.fit(df.limit(0))).where("lang_pred <> 'und'").count() == 0
 
@@ -445,6 +451,13 @@ def test_decontaminate(spark, monkeypatch, block_bytes):
     found = decontaminate.search(docs, bench).withColumn("h", decontaminate.n_hit())
     assert {r.doc_id: (r.n_words, r.h, r["items"]) for r in found.collect()} == brute_hits(rows, items)
     assert decontaminate.search(docs, bench.limit(0)).where("size(hits) > 0").count() == 0
+    assert decontaminate.search(docs.limit(0), bench).count() == 0
+    twice = docs.unionByName(docs).unionByName(docs.withColumn("doc_id", F.lit(None).cast("long")))
+    assert decontaminate.search(twice, bench).count() == 3 * len(rows)
+    named = decontaminate.search(docs.withColumn("doc_id", F.concat(F.lit("k"), F.col("doc_id").cast("string"))), bench).withColumn("h", decontaminate.n_hit())
+    assert {r.doc_id: (r.n_words, r.h, r["items"]) for r in named.collect()} == {f"k{k}": v for k, v in brute_hits(rows, items).items()}
+    clean = {k for k, (_, _, found) in brute_hits(rows, [(k, t) for k, t in items if len(re.findall("[A-Za-z0-9ö]+", t or "")) >= 5]).items() if not found}
+    assert sorted((r.doc_id, r["items"]) for r in decontaminate.clean(docs, bench).collect()) == sorted((k, 1) for k in clean)
 
 
 def test_proximity(spark):
@@ -466,15 +479,23 @@ def test_pipeline(spark, tmp_path):
     rows = [(i, text(60), "en", "s", 0) for i in range(30)]
     rows += [(40, copy, "en", "s", 0), (41, copy + " end", "en", "t", 0), (42, text(20) + " " + passage, "en", "s", 0), (43, "123", "en", "s", 0), (44, None, None, None, None),
              (45, text(30) + " password=abcdef99", "en", "s", 0)]
+    rows += [(50, text(50), "en", "s", 0)] * 2 + [(50, text(50) + " token=abcdefgh", "en", "s", 0), (50, "xx " + text(50) + " token=abcdefgh", "en", "s", 0)]
+    rows += [(None, text(50) + " secret=zzzzzzz1", "en", "s", 0), (None, text(20) + " " + passage, "en", "s", 0)]
     folder = f"{tmp_path}/in"
-    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{folder}/documents.parquet")
+    rows = [(*r, "own") for r in rows]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long, spans string").write.parquet(f"{folder}/documents.parquet")
     spark.createDataFrame([(1, passage)], "item_id long, text string").write.parquet(f"{folder}/benchmark.parquet")
     docs = spark.read.parquet(f"{folder}/documents.parquet")
     for name, stage in corpus_pipeline.STAGES[:4]:
         docs = stage(spark, docs, folder)
-        assert docs.columns == ["doc_id", "text", "lang", "source", "n_chars"], name
-    got = {r.doc_id: r for r in corpus_pipeline.run(spark, folder).collect()}
-    assert set(got) == {*range(30), 40, 45}
+        assert docs.columns == ["doc_id", "text", "lang", "source", "n_chars", "spans"], name
+    found = corpus_pipeline.run(spark, folder).collect()
+    got = {r.doc_id: r for r in found}
+    assert sorted(map(str, (r.doc_id for r in found))) == sorted(map(str, [*range(30), 40, 45, 50, 50, 50, None]))
+    texts = [reference.decode(ids_of(r.ids)) for r in found]
+    assert not any("abcdefgh" in t or "zzzzzzz1" in t for t in texts) and sum(t.endswith(" [SECRET]") for t in texts) == 4
+    empty = spark.createDataFrame([], "doc_id long, text string, lang string, source string, n_chars long")
+    assert all(stage(spark, empty, folder).count() == 0 for _, stage in corpus_pipeline.STAGES)
     assert all(r.round_trip for r in got.values())
     ids = ids_of(got[45].ids)
     assert reference.decode(ids).endswith("[SECRET]") and got[45].n_tokens == len(ids)
