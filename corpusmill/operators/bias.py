@@ -120,7 +120,9 @@ def matched_tokens(sentences: DataFrame, index: DataFrame, key: str, sentence: s
         return F.struct(left.alias("skip"), entry.alias("entry"), F.when(emits, F.concat(acc["out"], F.array(item))).otherwise(acc["out"]).alias("out"))
 
     walk = F.aggregate(F.sequence(F.lit(0), F.size("tokens") - 1), start, step, lambda acc: acc["out"])
-    return joined.withColumn("emitted", F.when(F.size("tokens") > 0, walk).otherwise(start["out"])).drop("hits", "tokens")
+    plain = F.transform(F.filter("tokens", lambda t: t != ""), lambda t: F.struct(t.alias("token"), start["entry"].alias("entry")))
+    # only sentences with a hit are walked
+    return joined.withColumn("emitted", F.when(F.col("hits").isNull(), plain).otherwise(walk)).drop("hits", "tokens")
 
 
 def _near(at: Column, others: Column) -> Column:

@@ -358,13 +358,68 @@ def i9(spark, sf_dir):
     return scored.select("doc_id", "sent_no", *[pii.span_count(k).cast("long").alias(k) for k in _PLAIN])
 
 
-@query("i7_pii_scores")
+# The detectors once more, stated for the oracle on its own: type, pattern, and what a match must pass besides.
+_LUHN = """list_sum(list_transform(list_reverse(string_split(regexp_replace(h, '\\D', '', 'g'), '')),
+  lambda x, i: CASE WHEN i % 2 = 0 THEN CASE WHEN x::INT * 2 > 9 THEN x::INT * 2 - 9 ELSE x::INT * 2 END ELSE x::INT END)) % 10 = 0"""
+_MOD97 = """list_reduce(list_transform(string_split('0' || array_to_string(list_transform(string_split(
+  substr(upper(regexp_replace(h, '\\s', '', 'g')), 5) || substr(upper(regexp_replace(h, '\\s', '', 'g')), 1, 4), ''),
+  lambda c: CASE WHEN c BETWEEN '0' AND '9' THEN c ELSE (ascii(c) - 55)::VARCHAR END), ''), ''), lambda d: d::BIGINT), lambda a, d: (a * 10 + d) % 97) = 1"""
+_OCTETS = "contains(h, ':') OR list_bool_and(list_transform(string_split(h, '.'), lambda x: x::INT <= 255))"
+_VIN = """substr(h, 9, 1) = (['0','1','2','3','4','5','6','7','8','9','X'])[list_sum(list_transform(string_split(translate(h, 'ABCDEFGHJKLMNPRSTUVWXYZ', '12345678123457923456789'), ''),
+  lambda c, i: c::INT * ([8,7,6,5,4,3,2,10,0,9,8,7,6,5,4,3,2])[i]))::INT % 11 + 1]"""
+_DETECTORS = (
+    ("emailAddress", r"[A-Za-z0-9._%+\-]+@[A-Za-z0-9.\-]+\.[A-Za-z]{2,}", "true"),
+    ("phoneNumber", r"\+[0-9]{1,3}[ \-]?\(?[0-9]{2,4}\)?[ \-]?[0-9]{3}[ \-]?[0-9]{3,4}", "true"),
+    ("ipAddress", r"[0-9]{1,3}\.[0-9]{1,3}\.[0-9]{1,3}\.[0-9]{1,3}|[0-9a-fA-F]{1,4}(?::[0-9a-fA-F]{1,4}){7}", _OCTETS),
+    ("url", r"https?://[^\s]+|www\.[^\s]+\.[^\s]+", "true"),
+    ("creditCard", r"[0-9]{4}[ \-]?[0-9]{4}[ \-]?[0-9]{4}[ \-]?[0-9]{4}", _LUHN),
+    ("ssn", r"[0-9]{3}-[0-9]{2}-[0-9]{4}", "true"),
+    ("ibanCode", r"[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?", _MOD97),
+    ("bankAccountNumber", r"(?:acct|account)[.: #]*[0-9]{8,17}", "true"),
+    ("date", r"[0-9]{1,2}[./][0-9]{1,2}[./][0-9]{4}|[0-9]{4}-[0-9]{2}-[0-9]{2}", "true"),
+    ("age", r"[0-9]{1,3}[ \-](?:years?[ \-]old|годин[аи])", "true"),
+    ("macAddress", r"[0-9A-Fa-f]{2}(?:[:\-][0-9A-Fa-f]{2}){5}", "true"),
+    ("bitcoinAddress", r"(?:bc1|[13])[a-km-zA-HJ-NP-Z1-9]{25,39}", "true"),
+    ("vin", r"[A-HJ-NPR-Z0-9]{17}", _VIN),
+    ("zipCode", r"[0-9]{5}-[0-9]{4}", "true"),
+)
+_FOUND = " UNION ALL ".join(
+    f"SELECT doc_id, sent_no, rank, type, k, start, len(h) AS size FROM (SELECT doc_id, sent_no, {rank} AS rank, '{kind}' AS type, k, hits[k] AS h, "
+    "list_sum(list_transform(gaps[1:k], lambda g: len(g))) + coalesce(list_sum(list_transform(hits[1:k - 1], lambda g: len(g))), 0) AS start FROM ("
+    f"SELECT doc_id, sent_no, regexp_extract_all(sentence, '{pattern}') AS hits, regexp_split_to_array(sentence, '{pattern}') AS gaps, "
+    f"unnest(range(1, len(hits) + 1)) AS k FROM searched WHERE regexp_matches(sentence, '{pattern}'))) WHERE {valid}"
+    for rank, (kind, pattern, valid) in enumerate(_DETECTORS)
+)
+PII = f"""{SENTENCES.replace('WITH ', '', 1)}, counted AS (SELECT *, {PII_TOKENS} AS t FROM rows),
+searched AS (SELECT * FROM counted WHERE len(t) >= 3), found AS MATERIALIZED ({_FOUND}),
+walk AS (
+  SELECT doc_id, sent_no, sentence, t, 0 AS i, 0::BIGINT AS pos, 0::BIGINT AS cursor FROM searched SEMI JOIN found USING (doc_id, sent_no)
+  UNION ALL
+  SELECT doc_id, sent_no, sentence, t, i + 1, CASE WHEN p > 0 THEN cursor + p - 1 ELSE cursor END, CASE WHEN p > 0 THEN cursor + p - 1 + len(t[i + 1]) ELSE cursor END
+  FROM (SELECT *, instr(substr(sentence, cursor + 1), t[i + 1]) AS p FROM walk WHERE i < len(t))),
+typed AS (SELECT w.doc_id, w.sent_no, w.i, arg_max(f.type, f.rank * 1000000 + f.k) AS type
+  FROM walk w JOIN found f ON w.doc_id = f.doc_id AND w.sent_no = f.sent_no AND w.i > 0 AND w.pos < f.start + f.size AND w.pos + len(w.t[w.i]) > f.start GROUP BY ALL),
+kinds AS (SELECT doc_id, sent_no, type, count(*) AS n FROM typed GROUP BY ALL),
+touched AS (SELECT doc_id, sent_no, sum(n)::INTEGER AS n, string_agg(type || '=' || n, ';' ORDER BY type) AS types, string_agg(type, ';' ORDER BY type) AS names FROM kinds GROUP BY ALL)"""
+
+
+@query(
+    "i7_pii_scores",
+    f"""WITH RECURSIVE {PII} SELECT c.doc_id, c.sent_no, len(t)::INTEGER AS "totalWords", coalesce(n, 0)::INTEGER AS "piiTokens",
+CASE WHEN len(t) = 0 THEN 0.0::DOUBLE ELSE round(coalesce(n, 0)::DOUBLE / len(t), 6) END AS "piiCoverage", coalesce(types, '') AS types
+FROM counted c LEFT JOIN touched USING (doc_id, sent_no)""",
+)
 def i7(spark, sf_dir):
     scored = pii.score_sentences(_sentences(spark, sf_dir))
     return scored.select("doc_id", "sent_no", "totalWords", "piiTokens", F.round("piiCoverage", 6).alias("piiCoverage"), pii.type_frequency_text().alias("types"))
 
 
-@query("k10_pii_report")
+@query(
+    "k10_pii_report",
+    f"""WITH RECURSIVE {PII} SELECT c.doc_id AS file, replace(sentence, chr(9), ' ') AS sentence, len(t)::INTEGER AS "totalWords", n AS "piiTokens",
+round(n::DOUBLE / len(t), 4) AS "piiCoverage", round(n::DOUBLE / len(t) * 100, 2) AS "piiCoveragePercent", names AS "distinctPiiTypes", types AS "typeFrequency"
+FROM counted c JOIN touched USING (doc_id, sent_no)""",
+)
 def k10(spark, sf_dir):
     return pii.report(pii.score_sentences(_sentences(spark, sf_dir)), "doc_id")
 
@@ -437,13 +492,55 @@ def _biased(spark, sf_dir):
     return bias.score_sentences(own, bias.form_index(_lexicon(spark)), "sid")
 
 
-@query("b12_bias_scores")
+_TYPES = ("gender", "race_ethnicity", "religion", "disability", "appearance")
+BIAS = rf"""{SENTENCES.replace('WITH ', '', 1)}, {LEX.strip()},
+full_lex AS (SELECT r.line_no, f[1] AS word, lower(f[3]) = 'true' AS signal, f[4] AS bias_type, f[5] NOT IN ('', 'neutral') AS evaluative,
+  lower(f[6]) = 'true' AS derogatory, lower(f[7]) = 'true' AS colloquial,
+  f[5] NOT IN ('', 'neutral') OR lower(f[6]) = 'true' OR lower(f[7]) = 'true' OR coalesce(try_cast(f[9] AS DOUBLE), 0) > 0.5 OR coalesce(try_cast(f[10] AS DOUBLE), 0) > 0.5 AS modifier
+  FROM raw r WHERE len(f) >= 10),
+forms AS (SELECT form, min(line_no) AS line_no FROM form_rows GROUP BY form),
+tok AS (SELECT doc_id, sent_no, sentence, list_transform(regexp_split_to_array(regexp_replace(lower(sentence), '\s+$', ''), '\s+'), lambda t: regexp_replace(t, '[^\p{{L}}\s]', '', 'g')) AS t FROM rows),
+places AS (SELECT doc_id, sent_no, t, unnest(range(0, len(t))) AS pos FROM tok),
+grams AS (SELECT doc_id, sent_no, pos, n, trim(array_to_string(t[pos + 1:pos + n], ' ')) AS form FROM places, (VALUES (1), (2), (3)) v(n) WHERE pos + n <= len(t)),
+hits AS MATERIALIZED (SELECT doc_id, sent_no, pos, max(n) AS n, arg_max(line_no, n) AS line_no FROM grams JOIN forms USING (form) WHERE form <> '' GROUP BY ALL),
+taken AS (
+  SELECT doc_id, sent_no, min(pos) AS pos, arg_min(n, pos) AS n, arg_min(line_no, pos) AS line_no FROM hits GROUP BY ALL
+  UNION ALL
+  SELECT h.doc_id, h.sent_no, min(h.pos), arg_min(h.n, h.pos), arg_min(h.line_no, h.pos) FROM taken s JOIN hits h ON h.doc_id = s.doc_id AND h.sent_no = s.sent_no AND h.pos >= s.pos + s.n GROUP BY h.doc_id, h.sent_no),
+inside AS (SELECT doc_id, sent_no, unnest(range(pos, pos + n)) AS pos, line_no FROM taken),
+emitted AS (SELECT p.doc_id, p.sent_no, i.line_no, row_number() OVER (PARTITION BY p.doc_id, p.sent_no ORDER BY p.pos) AS i
+  FROM places p LEFT JOIN inside i ON i.doc_id = p.doc_id AND i.sent_no = p.sent_no AND i.pos = p.pos WHERE p.t[p.pos + 1] <> '' OR i.line_no IS NOT NULL),
+sized AS (SELECT doc_id, sent_no, count(*) AS words FROM emitted GROUP BY ALL),
+matched AS (SELECT e.doc_id, e.sent_no, e.i, l.* FROM emitted e JOIN sized z ON z.doc_id = e.doc_id AND z.sent_no = e.sent_no AND z.words >= 6 JOIN full_lex l ON l.line_no = e.line_no),
+lemmas AS (SELECT doc_id, sent_no, string_agg(word, ';' ORDER BY i) AS lemmas FROM (SELECT doc_id, sent_no, word, min(i) AS i FROM matched GROUP BY ALL) GROUP BY ALL),
+totals AS (SELECT doc_id, sent_no, count(*) FILTER (WHERE evaluative) AS b, count(*) FILTER (WHERE derogatory) AS d, count(*) FILTER (WHERE colloquial) AS c FROM matched GROUP BY ALL),
+by_kind AS (SELECT doc_id, sent_no, i, signal, modifier, unnest(CASE WHEN bias_type <> '' THEN [bias_type] ELSE {list(_TYPES)} END) AS kind FROM matched),
+paired AS (SELECT a.doc_id, a.sent_no, a.kind, a.i, any_value(a.signal) AS signal, any_value(a.modifier) AS modifier,
+  any_value(a.signal) AND (any_value(a.modifier) OR coalesce(bool_or(b.modifier), false)) OR any_value(a.modifier) AND coalesce(bool_or(b.signal), false) AS paired
+  FROM by_kind a LEFT JOIN by_kind b ON a.doc_id = b.doc_id AND a.sent_no = b.sent_no AND a.kind = b.kind AND a.i <> b.i AND abs(a.i - b.i) <= 10 GROUP BY a.doc_id, a.sent_no, a.kind, a.i),
+wide AS (SELECT doc_id, sent_no, {", ".join(f"count(*) FILTER (WHERE signal AND kind = '{t}') AS {t}_s, count(*) FILTER (WHERE modifier AND paired AND kind = '{t}') AS {t}_m, count(*) FILTER (WHERE paired AND kind = '{t}') AS {t}_p" for t in _TYPES)} FROM paired GROUP BY ALL),
+biased AS (SELECT k.doc_id, k.sent_no, k.sentence, coalesce(words, 0)::INTEGER AS words, coalesce(lemmas, '') AS lemmas, coalesce(b, 0)::INTEGER AS b, coalesce(d, 0)::INTEGER AS d, coalesce(c, 0)::INTEGER AS c,
+  {", ".join(f"coalesce({t}_{x}, 0)::INTEGER AS {t}_{x}" for t in _TYPES for x in "sm")}, {", ".join(f"coalesce({t}_p / words, 0)::DOUBLE AS {t}_c" for t in _TYPES)}
+  FROM tok k LEFT JOIN sized USING (doc_id, sent_no) LEFT JOIN lemmas USING (doc_id, sent_no) LEFT JOIN totals USING (doc_id, sent_no) LEFT JOIN wide USING (doc_id, sent_no)),
+scored AS (SELECT *, {" + ".join(f"{t}_c" for t in _TYPES)} AS cover, {" + ".join(f"({t}_c > 0)::INT" for t in _TYPES)} >= 2 AS multi FROM biased)"""
+
+
+@query(
+    "b12_bias_scores",
+    f"""WITH RECURSIVE {BIAS} SELECT doc_id, sent_no, words AS "totalWords", {", ".join(f'{t}_s AS "{t}_signals", {t}_m AS "{t}_evaluators"' for t in _TYPES)},
+b AS "totalBiasWords", d AS "totalDerogatory", c AS "totalColloquial", multi AS "multiType", round(cover, 6) AS "totalCoverage" FROM scored""",
+)
 def b12(spark, sf_dir):
     cols = [f"{t}_{k}" for t in bias.TYPES for k in ("signals", "evaluators")]
     return _biased(spark, sf_dir).select("doc_id", "sent_no", "totalWords", *cols, "totalBiasWords", "totalDerogatory", "totalColloquial", "multiType", F.round("totalCoverage", 6).alias("totalCoverage"))
 
 
-@query("k11_bias_report")
+@query(
+    "k11_bias_report",
+    f"""WITH RECURSIVE {BIAS} SELECT doc_id AS file, sentence, words AS "totalWords", lemmas AS "matchedLemmas",
+{", ".join(f'{t}_s AS "{t}_signals", {t}_m AS "{t}_evaluators", round({t}_c, 4) AS "{t}_coverage"' for t in _TYPES)},
+b AS "totalBiasWords", d AS "totalDerogatory", c AS "totalColloquial", multi::INTEGER AS "multiType", round(cover, 4) AS "totalCoverage" FROM scored WHERE cover > 0""",
+)
 def k11(spark, sf_dir):
     return bias.report(_biased(spark, sf_dir), "doc_id")
 
