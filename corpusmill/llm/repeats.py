@@ -15,9 +15,14 @@ surroundings are brought together by anchor, suffix-sorted, and judged by LPF.
 Anchors with very many different surroundings are split by whole windows, so
 none is gathered in one task.
 
+Anchors, equal surroundings and the windows of hot anchors are told apart by 64-bit
+hashes, so two of n different ones are taken for equal with a probability of about
+n * n / 4e19; all else is compared byte by byte.
+
 Defined results: a null text is the empty text; documents shorter than ``width``
-keep all bytes; rows that repeat an id must repeat its text and are the same
-document; strings are judged on the input, never on what is left.
+keep all bytes; rows that repeat an id are documents of their own, in the order of a
+hash of their texts; rows without an id come last; strings are judged on the input,
+never on what is left.
 """
 
 from __future__ import annotations
@@ -112,51 +117,13 @@ def anchors(data: np.ndarray, width: int = WIDTH) -> tuple[np.ndarray, np.ndarra
     return np.concatenate(places), np.concatenate(keys), np.concatenate(around)
 
 
-def suffix_array(data: bytes) -> np.ndarray:
-    """Starts of all suffixes in lexical order, by prefix doubling."""
-    rank = np.frombuffer(data, np.uint8).astype(np.int64)
-    order, step, n = np.argsort(rank, kind="stable"), 1, len(data)
-    while n:
-        after = np.zeros(n, np.int64)
-        after[: n - step] = rank[step:] + 1
-        key = rank * (max(n, 256) + 2) + after
-        order = np.argsort(key, kind="stable")
-        fresh = np.concatenate([[0], np.cumsum(key[order][1:] != key[order][:-1])])
-        rank = np.empty(n, np.int64)
-        rank[order] = fresh
-        step *= 2
-        if fresh[-1] == n - 1 or step >= n:
-            break
-    return order
-
-
-def longest_previous_factors(data: bytes) -> np.ndarray:
-    """LPF[i]: longest prefix of data[i:] that also starts before i.
-
-    Of the suffixes before i, the ones that share most with it are its
-    neighbours in suffix order among smaller starts: the previous and the next
-    smaller value in the suffix array.
-    """
-    order = suffix_array(data).tolist()
-    n = len(order)
-    before, after, stack = [-1] * n, [-1] * n, []
-    for start in order:
-        while stack and stack[-1] > start:
-            after[stack.pop()] = start
-        before[start] = stack[-1] if stack else -1
-        stack.append(start)
-    out = np.zeros(n, np.int64)
-
-    def shared(i, j, known):
-        while i + known < n and data[i + known] == data[j + known]:
-            known += 1
-        return known
-
-    left = right = 0
-    for i in range(n):
-        left = shared(i, before[i], max(0, left - 1)) if before[i] >= 0 else 0
-        right = shared(i, after[i], max(0, right - 1)) if after[i] >= 0 else 0
-        out[i] = max(left, right)
+def previous_smaller(values: np.ndarray) -> np.ndarray:
+    """Of each place the nearest one before it with a smaller value, -1 for none; by following such answers of others."""
+    out = np.arange(-1, len(values) - 1)
+    open_ = np.flatnonzero((out >= 0) & (values[out] > values))
+    while len(open_):
+        out[open_] = out[out[open_]]
+        open_ = open_[(out[open_] >= 0) & (values[out[open_]] > values[open_])]
     return out
 
 
@@ -168,12 +135,13 @@ def _dense(key: np.ndarray) -> np.ndarray:
     return fresh
 
 
-def reached(data: np.ndarray, starts: np.ndarray, width: int) -> np.ndarray:
-    """Which of the given suffixes have LPF >= width among each other; ``starts`` are in corpus order.
+def longest_previous_factors(data: np.ndarray, starts: np.ndarray, width: int) -> np.ndarray:
+    """LPF among the given suffixes, which are in corpus order and hold ``width`` bytes, up to ``width``, in steps of 8 bytes.
 
     Suffixes are ranked by their first ``width`` bytes by prefix doubling, ties by
-    corpus position. In that order the previous smaller value of a suffix with
-    LPF >= width stands directly before it and has the same rank.
+    corpus order. Of the suffixes before one in the corpus, those that share most
+    with it are its previous and its next smaller position in that order; the
+    bytes of both are compared with its own.
     """
     padded = np.concatenate([data, np.zeros(width + 8, np.uint8)])
     size = 4  # four bytes make a first key without sorting
@@ -183,11 +151,25 @@ def reached(data: np.ndarray, starts: np.ndarray, width: int) -> np.ndarray:
         step = min(size, width - size)
         rank = _dense(rank[: len(rank) - step] * len(padded) + rank[step:])
         size += step
-    own = rank[starts]
-    order = np.lexsort((np.arange(len(starts)), own))
-    again = np.zeros(len(starts), bool)
-    again[order[1:]] = own[order[1:]] == own[order[:-1]]
-    return again
+    order = np.lexsort((np.arange(len(starts)), rank[starts]))
+    del rank
+    before = previous_smaller(order)
+    after = len(order) - 1 - previous_smaller(order[::-1])[::-1]
+    eight = np.zeros(len(padded) - 7, np.uint64)
+    for k in range(8):
+        eight |= padded[k : len(padded) - 7 + k].astype(np.uint64) << np.uint64(8 * k)
+    offsets = [*range(0, width - 7, 8), width - 8]
+    out = np.zeros(len(starts), np.int64)
+    for other in (before, after):
+        here = np.flatnonzero((other >= 0) & (other < len(order)))
+        own, far = starts[order[here]], starts[order[other[here]]]
+        shared = np.zeros(len(here), np.int64)
+        same = np.arange(len(here))
+        for at in offsets:
+            same = same[eight[own[same] + at] == eight[far[same] + at]]
+            shared[same] = at + 8
+        out[order[here]] = np.maximum(out[order[here]], shared)
+    return out
 
 
 def _compress(raw: bytes) -> bytes:
@@ -426,7 +408,7 @@ def _compare(width: int):
         # one place may be seen from several anchors of the group; it is no copy of itself
         order = np.lexsort(place[::-1])
         order = order[_new(*place[:, order])]
-        again = order[reached(np.concatenate(pieces), (begin[which] + inner)[order], width)]
+        again = order[longest_previous_factors(np.concatenate(pieces), (begin[which] + inner)[order], width) >= width]
         return place[0, again], place[1, again].astype(np.int32)
 
     def run(batches):
@@ -496,7 +478,14 @@ CUT = T.StructType(
 def remove_repeats(df: DataFrame, key: str = "doc_id", text: str = "text", width: int = WIDTH) -> DataFrame:
     """key, n_bytes, n_removed, n_spans (maximal removed runs) and the kept bytes of every row."""
     docs = df.select(F.col(key).alias("key"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    joined = docs.join(removals(df, key, text, width), "key", "left").select("key", "text", "runs")
+    rows, distinct = docs.agg(F.count(F.lit(1)), F.count_distinct("key")).head()
+    if rows == distinct:
+        docs = docs.withColumn("row", F.col("key").cast("long"))
+    else:  # sorted rows are numbered in order
+        ranked = docs.orderBy(F.col("key").asc_nulls_last(), F.xxhash64("text"))
+        docs = materialize(ranked.withColumn("row", F.monotonically_increasing_id()), "numbered")
+    runs = removals(docs, "row", "text", width).withColumnRenamed("key", "row")
+    joined = docs.join(runs, "row", "left").select("key", "text", "runs")
 
     def run(batches):
         for batch in batches:
