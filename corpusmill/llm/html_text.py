@@ -17,7 +17,8 @@ Text: character references decoded, white space inside a block made one space
 and trimmed, blocks joined by a line feed in page order; ``<br>`` is white space.
 Defined results: a null or empty page has the empty text; a page without tags is
 one block; elements left open end with their parent; end tags without a start
-are skipped; an unclosed script or comment reaches to the end; columns of the
+are skipped; an unclosed script or comment reaches to the end; a quote in a tag that
+is never closed is an ordinary character; columns of the
 same name as an output column are replaced.
 """
 
@@ -58,13 +59,9 @@ ENOUGH = 0.1
 #: A path with this share of link text is a list of links.
 LINKS = 0.9
 
-_TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)"
-    rf"|<(?P<raw>{RAW.replace(' ', '|')})\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*>.*?(?:</(?P=raw)\s*>|\Z)"
-    r"|<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<rest>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)>"
-    r"|<[!?/][^>]*>",
-    re.DOTALL | re.IGNORECASE,
-)
+_NAME = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)")
+_QUOTED = re.compile(r"""[^>"']*+(?:"[^"]*+"[^>"']*+|'[^']*+'[^>"']*+)*+>""")
+_RAW_END = {tag: re.compile(rf"</{tag}\s*>", re.IGNORECASE) for tag in RAW.split()}
 _ATTR = re.compile(r"""([^\s"'<>/=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+)))?""")
 _HIDDEN = re.compile(r"(?:^|;)\s*(?:display\s*:\s*none|visibility\s*:\s*hidden)\b", re.IGNORECASE)
 _WORDS = re.compile(r"[a-z]+|[A-Z][a-z]*")
@@ -104,6 +101,37 @@ def _marks(rest: str) -> tuple[bool, frozenset]:
     return hidden, frozenset(words & MARKS)
 
 
+def _markup(page: str):
+    """(start, end, tag, whether it is an end tag, attributes) of all markup; no tag for comments, declarations and raw elements.
+
+    Tags end at the first ``>`` outside quotes. Once a quote turns out to be
+    unclosed, quotes mean nothing in the rest of the page, so no text is read twice.
+    """
+    at, size, last, quotes = 0, len(page), page.rfind(">"), True
+    while (start := page.find("<", at)) >= 0:
+        at = start + 1
+        if page.startswith("<!--", start):
+            end = page.find("-->", start + 4)
+            at = size if end < 0 else end + 3
+            yield start, at, None, False, ""
+        elif start > last:
+            return
+        elif name := _NAME.match(page, start):
+            whole = _QUOTED.match(page, name.end()) if quotes else None
+            quotes = whole is not None
+            end = whole.end() if whole else page.find(">", name.end()) + 1
+            tag, at = name[2].lower(), end
+            if tag in _RAW_END and not name[1]:
+                close = _RAW_END[tag].search(page, end)
+                at = close.end() if close else size
+                yield start, at, None, False, ""
+            else:
+                yield start, at, tag, bool(name[1]), page[name.end() : end - 1]
+        elif page[start + 1 : start + 2] in ("!", "?", "/"):
+            at = page.find(">", start) + 1
+            yield start, at, None, False, ""
+
+
 def blocks(page: str) -> list[tuple[_Element, str, int]]:
     """(element, text, characters of it inside links) of every block that is not in a dropped element."""
     root = _Element("", None, False)
@@ -124,28 +152,26 @@ def blocks(page: str) -> list[tuple[_Element, str, int]]:
                 linked[1] += len(part)
 
     at = 0
-    for m in _TOKEN.finditer(page):
-        add(page[at : m.start()])
-        at = m.end()
-        tag = m["tag"]
+    for start, end, tag, ends, rest in _markup(page):
+        add(page[at:start])
+        at = end
         if tag is None:
             continue
-        tag, rest = tag.lower(), m["rest"]
         if tag in INLINE:
             if tag == "br":
                 add(" ")
             elif tag == "a":
-                linked[0] = 0 if m["end"] else 1
-            elif not m["end"] and rest and stack[-1].tag not in INLINE and any(marks := _marks(rest)) and not rest.endswith("/"):
+                linked[0] = 0 if ends else 1
+            elif not ends and rest and stack[-1].tag not in INLINE and any(marks := _marks(rest)) and not rest.endswith("/"):
                 flush()
                 stack.append(_Element(tag, stack[-1], stack[-1].dropped or marks[0], marks[1]))
-            elif m["end"] and stack[-1].tag == tag:
+            elif ends and stack[-1].tag == tag:
                 flush()
                 stack.pop()
             continue
         flush()
         linked[0] = 0
-        if m["end"]:
+        if ends:
             for depth in range(len(stack) - 1, 0, -1):
                 if stack[depth].tag == tag:
                     del stack[depth:]
