@@ -274,15 +274,19 @@ def search(
 
 
 def clean(
-    df: DataFrame, benchmark: DataFrame, text: str = "text", item: str = "item_id", item_text: str = "text", shortest: int = 5
+    df: DataFrame, benchmark: DataFrame, row: str | None = None, text: str = "text", item: str = "item_id", item_text: str = "text", shortest: int = 5
 ) -> DataFrame:
-    """The rows of ``df`` that no window of an item of at least ``shortest`` words occurs in."""
-    numbered = materialize(df.withColumn("__row", F.monotonically_increasing_id()), "numbered")
-    stored = index(numbered.select(F.col("__row").alias("row"), F.col(text).alias("text")))
+    """The rows of ``df`` that no window of an item of at least ``shortest`` words occurs in.
+
+    ``row`` is an integer column that tells rows apart; without one they are numbered and stored.
+    """
+    rows = df if row else materialize(df.withColumn("__row", F.monotonically_increasing_id()), "numbered")
+    row = row or "__row"
+    stored = index(rows.select(F.col(row).alias("row"), F.col(text).alias("text")))
     found = answered(stored, benchmark, item, item_text, WINDOW, 0, shortest)
-    leaks = materialize(found.where(F.size("hits") > 0).select(F.col("row").alias("__row")), "leaks")
+    leaks = materialize(found.where(F.size("hits") > 0).select(F.col("row").alias(row)), "leaks")
     forget(stored)
-    return numbered.join(leaks, "__row", "left_anti").drop("__row")
+    return rows.join(leaks, row, "left_anti").select(*df.columns)
 
 
 def n_hit(hits: str = "hits"):

@@ -433,13 +433,14 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", perc
     sizes = left.groupBy("band").agg(F.count(F.lit(1)).alias("members"))
     ends = materialize(ends.join(sizes, "band"), "ends")
     second = join_keyed(left, ends, "band", "members").where(F.col("component") != F.col("end")).select("a", F.col("key").alias("b")).distinct()
-    found = materialize(found.unionByName(links(second)), "near-links")
-    forget(left, ends)
+    starred, more = found, links(second)
+    found = materialize(starred.unionByName(more), "near-links")
+    forget(left, ends, starred, more)
     # then whatever pairs of a bucket are still apart and alike enough by their sketches
     left = unconnected(found)
     third = materialize(_apart(left, reps, percent).distinct(), "likely")
     joined = components(found.unionByName(verified(third, docs, percent)))
-    forget(left, third, found, shared, hubs)
+    forget(left, third, found, shared, hubs, reps)
     return classed.join(joined.withColumnRenamed("node", "rep"), "rep", "left").select(
         F.col("key").alias(key),
         F.col("n").alias("n_shingles"),

@@ -120,6 +120,20 @@ def ownership(found: DataFrame, owner: str, repo: str) -> DataFrame:
     )
 
 
+def _spans(scanned: DataFrame) -> DataFrame:
+    """row and its spans, of rows that have any, from (row, owner, repo, candidates)."""
+    found = scanned.select("row", "owner", "repo", F.explode("candidates").alias("c")).select("row", "owner", "repo", "c.*")
+    found = materialize(found, "candidates")
+    owned = materialize(ownership(found, "owner", "repo"), "ownership")
+    judged = join_keyed(found.drop("owner", "repo"), owned, "value_hash", "n_found").withColumn(
+        "live", F.col("lively") & (F.col("n_owners") < EXAMPLE_OWNERS)
+    )
+    kept = judged.where((F.col("rank") < len(BASE)) | F.col("live"))
+    return kept.groupBy("row").agg(
+        F.array_sort(F.collect_list(F.struct("start", "rank", "end", "kind", "live"))).alias("spans")
+    )
+
+
 def scan_corpus(
     df: DataFrame, key: str = "doc_id", text: str = "text", owner: str = "source", repo: str = "doc_id"
 ) -> DataFrame:
@@ -132,16 +146,7 @@ def scan_corpus(
     texts = df.select(F.col(key).alias("key"), F.col(owner).alias("owner"), F.col(repo).alias("repo"), F.col(text).alias("text"))
     scanned = candidates(texts).drop("text").withColumn("row", F.monotonically_increasing_id())
     scanned = materialize(scanned, "secrets")  # rows keep their numbers from here on
-    found = scanned.select("row", "owner", "repo", F.explode("candidates").alias("c")).select("row", "owner", "repo", "c.*")
-    found = materialize(found, "candidates")
-    owned = materialize(ownership(found, "owner", "repo"), "ownership")
-    judged = join_keyed(found.drop("owner", "repo"), owned, "value_hash", "n_found").withColumn(
-        "live", F.col("lively") & (F.col("n_owners") < EXAMPLE_OWNERS)
-    )
-    kept = judged.where((F.col("rank") < len(BASE)) | F.col("live"))
-    spans = kept.groupBy("row").agg(
-        F.array_sort(F.collect_list(F.struct("start", "rank", "end", "kind", "live"))).alias("spans")
-    )
+    spans = _spans(scanned)
     empty = F.array().cast(spans.schema["spans"].dataType)
     joined = scanned.select("key", "row").join(spans, "row", "left").withColumn("spans", F.coalesce("spans", empty))
     return joined.select(F.col("key").alias(key), "spans", F.filter("spans", lambda s: s["rank"] < len(BASE)).alias("base"))
@@ -173,3 +178,18 @@ def redact(df: DataFrame, text: str = "text", spans: str = "spans", mask: str =
         return lambda rows: {text: [cut(r["text"], r["spans"]) if r["spans"] else r["text"] for r in rows]}
 
     return add_columns(packed, make, "__both", **{text: kind}).drop("__both").select(*df.columns)
+
+
+def mask_corpus(df: DataFrame, text: str = "text", owner: str = "source", repo: str = "doc_id") -> DataFrame:
+    """``df`` with every span that ``scan_corpus`` finds masked.
+
+    Base spans are masked where they are found; only rows with candidates that
+    the corpus must judge are joined to its verdict, by a number of their own.
+    """
+    rows = candidates(df.withColumn("__row", F.monotonically_increasing_id()), text, "__candidates")
+    rows = materialize(rows, "secrets")
+    spans = _spans(rows.select(F.col("__row").alias("row"), F.col(owner).alias("owner"), F.col(repo).alias("repo"), F.col("__candidates").alias("candidates")))
+    asked = F.exists("__candidates", lambda c: c["rank"] >= len(BASE))
+    judged = rows.where(asked).join(spans.select(F.col("row").alias("__row"), F.col("spans").alias("__spans")), "__row", "left")
+    certain = redact(rows.where(~asked), text, "__candidates").select(*df.columns)
+    return certain.unionByName(redact(judged, text, "__spans").select(*df.columns))
