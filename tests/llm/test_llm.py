@@ -218,6 +218,18 @@ def test_html_marks(attributes):
     assert html_text.extract(page_of(f"<article><p>{SENTENCE}</p></article>", f"<div {attributes}><p>{SENTENCE * 4}</p></div>")) == SENTENCE.strip()
 
 
+@pytest.mark.parametrize("part", ["<script ", '<a "', "<a '", "<!-- ", "<p title=\"", "<style>", "<div x='\">"])
+def test_html_is_linear(part):
+    began = time.time()
+    html_text.extract(part * (1_000_000 // len(part)))
+    html_text.extract(part * (500_000 // len(part)) + ">" + part)
+    assert time.time() - began < 30
+
+
+def test_html_stray_quote():
+    assert html_text.extract('<p title="abc>One text here.</p><p>Two, more text.</p>') == "One text here.\nTwo, more text."
+
+
 def test_html_rows(spark):
     df = spark.createDataFrame([(1, PAGE, "own"), (2, None, "own")], "page_id int, html string, TEXT string")
     assert html_text.extract_text(df).columns == ["page_id", "html", "text"] and html_text.extract_text(df).count() == 2
@@ -267,9 +279,23 @@ def test_repeats(spark, monkeypatch, hot):
 def test_longest_previous_factors():
     rng = random.Random(5)
     for _ in range(30):
-        data = bytes(rng.choice(b"ab") for _ in range(rng.randint(0, 40)))
-        want = [max([0, *(k for j in range(i) for k in range(1, len(data) - i + 1) if data[j : j + k] == data[i : i + k])]) for i in range(len(data))]
-        assert repeats.longest_previous_factors(data).tolist() == want
+        data = bytes(rng.choice(b"ab") for _ in range(rng.randint(16, 200)))
+        starts = np.arange(len(data) - 15)
+        want = [any(data[j : j + 16] == data[i : i + 16] for j in range(i)) for i in starts.tolist()]
+        assert (repeats.longest_previous_factors(np.frombuffer(data, np.uint8), starts, 16) >= 16).tolist() == want
+        values = rng.sample(range(100), 60)
+        before = [max([-1, *(j for j in range(i) if values[j] < v)]) for i, v in enumerate(values)]
+        assert repeats.previous_smaller(np.array(values)).tolist() == before
+
+
+def test_repeats_without_own_ids(spark):
+    """Rows that repeat an id or have none are documents of their own."""
+    shared = "".join(random.Random(1).choices("abcdefgh", k=150))
+    df = spark.createDataFrame([(1, shared), (1, "x" + shared), (1, "other"), (None, "y" + shared), (None, None)], "doc_id long, text string")
+    got = repeats.remove_repeats(df).collect()
+    assert sorted((str(r.doc_id), r.n_bytes) for r in got) == [("1", 5), ("1", 150), ("1", 151), ("None", 0), ("None", 151)]
+    assert sorted(r.n_removed for r in got) == [0, 0, 0, 150, 150]
+    assert repeats.remove_repeats(df.limit(0)).count() == 0
 
 
 # --- 7 -----------------------------------------------------------------------------------------
