@@ -26,7 +26,10 @@ ROW = "__row"
 
 
 def numbered(docs: DataFrame) -> DataFrame:
-    """The rows with a number each, stored, so that a lost task does not number them anew."""
+    """The rows with a number each: the id where all ids differ; else one that is stored, so that a lost task does not number them anew."""
+    rows, distinct = docs.agg(F.count(F.lit(1)), F.count_distinct("doc_id")).head()
+    if rows == distinct:
+        return docs.withColumn(ROW, F.col("doc_id").cast("long"))
     return materialize(docs.withColumn(ROW, F.monotonically_increasing_id()), "numbered")
 
 
@@ -49,14 +52,12 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop documents that a benchmark passage occurs in."""
-    return decontaminate.clean(docs, table(spark, sf_dir, "benchmark"))
+    return decontaminate.clean(numbered(docs), table(spark, sf_dir, "benchmark"), ROW).select(*docs.columns)
 
 
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Mask secrets in texts; all documents stay."""
-    rows = numbered(docs)
-    found = secrets.scan_corpus(rows, key=ROW, repo="doc_id").where(F.size("spans") > 0).select(ROW, F.col("spans").alias("__spans"))
-    masked = secrets.redact(rows.join(found, ROW, "left"), spans="__spans")
+    masked = secrets.mask_corpus(docs)
     return masked.withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
 
 
