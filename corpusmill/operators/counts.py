@@ -5,20 +5,20 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.sentences import document_sentences
+from ..functions.sentences import Splitter, document_sentences, split_text
 from ..functions.text import count_tokens, is_blank, word_count
 from .clean import lines
 
 
-def sentence_rows(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+def sentence_rows(docs: DataFrame, key: str = "doc_id", text: str = "text", splitter: Splitter = split_text) -> DataFrame:
     """(key, sent_no from 1, sentence)."""
-    exploded = docs.select(key, F.posexplode(document_sentences(text)).alias("at", "sentence"))
+    exploded = docs.select(key, F.posexplode(document_sentences(text, splitter)).alias("at", "sentence"))
     return exploded.select(key, (F.col("at") + 1).alias("sent_no"), "sentence")
 
 
-def sentence_counts(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+def sentence_counts(docs: DataFrame, key: str = "doc_id", text: str = "text", splitter: Splitter = split_text) -> DataFrame:
     """(key, NumberSentences, NumberWords, NumberTokens), computed in place: no row moves."""
-    own = docs.select(key, document_sentences(text).alias("sentences"))
+    own = docs.select(key, document_sentences(text, splitter).alias("sentences"))
     add = lambda f: F.aggregate("sentences", F.lit(0), lambda n, s: n + f(s))
     return own.select(
         key,

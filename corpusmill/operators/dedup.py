@@ -8,6 +8,9 @@ chosen so that no pair that the full signatures accept is lost.
 
 from __future__ import annotations
 
+from fractions import Fraction
+from math import ceil
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -17,6 +20,11 @@ from .clean import check_threshold, lines
 SHINGLE, THRESHOLD, HASHES = 5, 0.90, 200
 
 
+def share(threshold: float) -> Fraction:
+    """The threshold as it is written in decimal, so that comparisons are exact in integers."""
+    return Fraction(str(check_threshold(threshold)))
+
+
 def eligible(docs: DataFrame, key: str = "doc_id", text: str = "text", size: int = SHINGLE) -> DataFrame:
     """(key, line_no, line) of trimmed lines long enough to have a shingle."""
     return lines(docs, key, text).where(F.length("line") >= size).select(key, "line_no", "line")
@@ -42,33 +50,40 @@ def restricted_sets(new: DataFrame, corpus: DataFrame, size: int = SHINGLE) -> t
     return cut, held
 
 
-def _prefixes(sets: DataFrame, frequency: DataFrame, percent: int) -> DataFrame:
+def _ceil_share(size: str, least: Fraction):
+    """The least integer of ``size`` times ``least`` or more."""
+    total = F.col(size).cast("long") * least.numerator + (least.denominator - 1)
+    return ((total - total % least.denominator) / least.denominator).cast("int")
+
+
+def _prefixes(sets: DataFrame, frequency: DataFrame, least: Fraction) -> DataFrame:
     """(line, size, shingle) of the rarest shingles, enough of them that sets alike share one."""
     rows = sets.select("line", F.size("shingles").alias("size"), F.explode("shingles").alias("shingle")).join(frequency, "shingle", "left")
     ranked = rows.groupBy("line", "size").agg(
         F.array_sort(F.collect_list(F.struct(F.coalesce("df", F.lit(0)).alias("df"), "shingle"))).alias("order")
     )
-    take = F.col("size") - F.ceil(F.col("size") * percent / 100).cast("int") + 1
+    take = F.col("size") - _ceil_share("size", least) + 1
     return ranked.select("line", "size", F.explode(F.slice("order", F.lit(1), take)).alias("o")).select("line", "size", "o.shingle")
 
 
 def similar_texts(new: DataFrame, corpus: DataFrame, threshold: float = THRESHOLD, size: int = SHINGLE) -> DataFrame:
     """(new_line, corpus_line, shared, joint): all pairs of texts with shared / joint >= threshold, in integers."""
-    percent = round(check_threshold(threshold) * 100)
-    if not percent:
+    least = share(threshold)
+    if not least:
         raise ValueError("the prefix filter needs a threshold above 0")
     a, b = restricted_sets(new, corpus, size)
     frequency = b.select(F.explode("shingles").alias("shingle")).groupBy("shingle").agg(F.count(F.lit(1)).alias("df"))
-    left = _prefixes(a, frequency, percent).withColumnsRenamed({"line": "new_line", "size": "na"})
-    right = _prefixes(b, frequency, percent).withColumnsRenamed({"line": "corpus_line", "size": "nb"})
-    near_sizes = (F.least("na", "nb") * 100 >= F.greatest("na", "nb") * percent)
+    left = _prefixes(a, frequency, least).withColumnsRenamed({"line": "new_line", "size": "na"})
+    right = _prefixes(b, frequency, least).withColumnsRenamed({"line": "corpus_line", "size": "nb"})
+    over, under = (F.lit(x).cast("long") for x in (least.denominator, least.numerator))
+    near_sizes = F.least("na", "nb") * over >= F.greatest("na", "nb") * under
     pairs = left.join(right, "shingle").where(near_sizes).select("new_line", "corpus_line").distinct()
     with_a = pairs.join(a.withColumnsRenamed({"line": "new_line", "shingles": "sa"}), "new_line")
     both = with_a.join(b.withColumnsRenamed({"line": "corpus_line", "shingles": "sb"}), "corpus_line")
     shared = F.size(F.array_intersect("sa", "sb"))
     counted = both.select("new_line", "corpus_line", shared.alias("shared"), (F.size("sa") + F.size("sb")).alias("both"))
     joint = counted.select("new_line", "corpus_line", "shared", (F.col("both") - F.col("shared")).alias("joint"))
-    return joint.where(F.col("shared") * 100 >= F.col("joint") * percent)
+    return joint.where(F.col("shared") * over >= F.col("joint") * under)
 
 
 def signatures(sets: DataFrame, hashes: int = HASHES) -> DataFrame:
@@ -79,7 +94,7 @@ def signatures(sets: DataFrame, hashes: int = HASHES) -> DataFrame:
 
 def bands_for(hashes: int, threshold: float) -> int:
     """Bands such that signatures that agree in threshold * hashes places agree in a whole band."""
-    misses = hashes - -int(-threshold * hashes // 1)
+    misses = hashes - ceil(share(threshold) * hashes)
     for bands in range(1, hashes + 1):
         if hashes % bands == 0 and bands > misses:
             return bands
@@ -90,7 +105,7 @@ def similar_sketches(
     new: DataFrame, corpus: DataFrame, threshold: float = THRESHOLD, size: int = SHINGLE, hashes: int = HASHES
 ) -> DataFrame:
     """(new_line, corpus_line, agree): pairs whose signatures agree in threshold * hashes places or more."""
-    needed = -int(-check_threshold(threshold) * hashes // 1)
+    needed = ceil(share(threshold) * hashes)
     a, b = restricted_sets(new, corpus, size)
     bands = bands_for(hashes, threshold)
     rows = hashes // bands

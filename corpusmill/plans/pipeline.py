@@ -8,6 +8,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.sentences import Splitter, split_text
 from ..operators import bias, clean, counts, dedup, metadata, pii
 
 
@@ -27,6 +28,7 @@ class PipelineConfig:
     skip_bias: bool = False
     sketches: bool = False
     sentences_from: str = "cleaned"
+    splitter: Splitter = split_text
     policy: dict = field(default_factory=lambda: dict(pii.POLICY))
 
     def __post_init__(self):
@@ -90,7 +92,7 @@ def run(
             current = dedup.remove_flagged(current, gone, size=config.shingle_size).select("doc_id", "text").persist(StorageLevel.DISK_ONLY)
     source = raw.join(current.select("doc_id"), "doc_id", "left_semi") if config.sentences_from == "raw" else current
     # several stages read the sentences; stored blocks are computed again if an executor is lost
-    sentences = counts.sentence_rows(source).persist(StorageLevel.DISK_ONLY)
+    sentences = counts.sentence_rows(source, splitter=config.splitter).persist(StorageLevel.DISK_ONLY)
     scored = sentences.select("doc_id", "sent_no")
     if not config.skip_pii:
         found = pii.score_sentences(sentences, policy=config.policy).select("doc_id", "sent_no", F.col("piiCoverage").alias("pii"))
@@ -106,7 +108,7 @@ def run(
     stems = current.select(F.col("doc_id").cast("string").alias("stem"))
     files = seeds if seeds is not None else stems.sparkSession.createDataFrame([], "file_name string, json string")
     records = metadata.load_or_create(stems, files)
-    tally = counts.sentence_counts(source)
+    tally = counts.sentence_counts(source, splitter=config.splitter)
     full = metadata.assemble(
         records.withColumnRenamed("stem", "doc_id"),
         scored.withColumn("doc_id", F.col("doc_id").cast("string")),

@@ -230,3 +230,26 @@ def test_append_new(spark, tmp_path):
 
 def test_registry_names():
     assert set(registry.oracles()) <= set(registry.queries())
+
+
+def test_sentences_with_marks(spark):
+    """Control characters that the splitter uses as marks are text like any other."""
+    got = values(spark, sentences.split_text("t"), ["One\x01two \x02x. Three\x03a four\x03.", "\x03b Here. \x03c\x01There."])
+    assert got == [["One\x01two \x02x.", "Three\x03a four\x03."], ["b Here. \x03c\x01There."]]
+
+
+def test_splitter_parameter(spark):
+    docs = spark.createDataFrame([(1, "a b;c. D e;f"), (2, None)], "doc_id int, text string")
+    at = lambda c: F.filter(F.split(c, ";"), lambda s: s != "")
+    assert [r.sentence for r in counts.sentence_rows(docs, splitter=at).orderBy("sent_no").collect()] == ["a b", "c. D e", "f"]
+    assert {r.doc_id: r.NumberWords for r in counts.sentence_counts(docs, splitter=at).collect()}[1] == 6
+    assert values(spark, sentences.split_and_filter("t", 2, at), ["a b;c"]) == [["a b"]]
+
+
+@pytest.mark.parametrize("threshold", [0.5, 0.905, 0.9, 0.333])
+def test_threshold_is_not_rounded(spark, threshold):
+    words = ["abcdefghijklmnopqrstuvwxyz"[i:] + "abcdefghijklmnopqrstuvwxyz"[:i] for i in range(0, 26, 3)] + ["abcdefghijklmnopqrstuvwxy!", "abcdefghijklm", "0123456789abcdefgh"]
+    new = spark.createDataFrame([("n", i, w) for i, w in enumerate(words)], "file string, line_no int, line string")
+    cut = {w: {w[i : i + 5] for i in range(len(w) - 4)} for w in words}
+    want = {(a, b) for a in words for b in words if len(cut[a] & cut[b]) >= threshold * len(cut[a] | cut[b])}
+    assert {(r.new_line, r.corpus_line) for r in dedup.similar_texts(new, new, threshold).collect()} == want
