@@ -200,10 +200,10 @@ def test_text_counts_of_lines(spark, tmp_path):
     rows = [(i // 2, i % 2, t) for i, t in enumerate(texts)]
     path = str(tmp_path / "conversations.parquet")
     spark.createDataFrame(rows, "conv_id long, turn int, text string").write.parquet(path)
-    got = sorted(map(tuple, registry.queries()["s12_text_counts_all"](spark, str(tmp_path)).collect()))
+    got = sorted(map(tuple, registry.queries()["s12_text_counts"](spark, str(tmp_path)).collect()))
     con = duckdb.connect()
     con.sql(f"CREATE VIEW conversations AS SELECT * FROM '{path}/*.parquet'")
-    assert got == sorted(con.sql(registry.oracles()["s12_text_counts_all"]).fetchall())
+    assert got == sorted(con.sql(registry.oracles()["s12_text_counts"]).fetchall())
     assert got == [(0, 6, 3, 3), (1, 0, 0, 0), (1000, 0, 0, 0), (1001, 0, 0, 1), (2000, 6, 3, 2), (2001, 3, 2, 1)]
 
 
