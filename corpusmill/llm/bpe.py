@@ -334,14 +334,23 @@ class StreamDecoder:
         return self.machine.finish()
 
 
+@lru_cache(maxsize=2)
+def _ranks(path: str) -> dict[bytes, int]:
+    return load_ranks(path)
+
+
 @lru_cache(maxsize=2)
 def _encoder(path: str, pattern: str) -> Encoder:
-    return Encoder(load_ranks(path), pattern)
+    return Encoder(_ranks(path), pattern)
 
 
 @lru_cache(maxsize=2)
 def _decoder(path: str) -> StreamDecoder:
-    return StreamDecoder(load_ranks(path))
+    return StreamDecoder(_ranks(path))
+
+
+def _decoded(decoder: StreamDecoder, packed: bytes | None) -> str:
+    return decoder.feed(np.frombuffer(packed or b"", "<u4")) + decoder.finish()
 
 
 def encode(df: DataFrame, ranks_path: str, pattern: str, text: str = "text", ids: str = "ids") -> DataFrame:
@@ -359,6 +368,22 @@ def encode(df: DataFrame, ranks_path: str, pattern: str, text: str = "text", ids
     return add_columns(df, make, text, **{ids: T.BinaryType()})
 
 
+def round_trip(df: DataFrame, ranks_path: str, pattern: str, text: str = "text", ids: str = "ids", decoded: str = "decoded") -> DataFrame:
+    """Add ``ids`` as ``encode`` does and ``decoded`` as ``decode`` does of them, in one pass with one vocabulary per worker."""
+
+    def make():
+        encoder, decoder = _encoder(ranks_path, pattern), _decoder(ranks_path)
+
+        def work(texts):
+            packed = [encoder.encode(x) for x in texts]
+            return {ids: packed, decoded: [_decoded(decoder, x) for x in packed]}
+
+        work.close = encoder.forget
+        return work
+
+    return add_columns(df, make, text, **{ids: T.BinaryType(), decoded: T.StringType()})
+
+
 def decode(df: DataFrame, ranks_path: str, ids: str = "ids", text: str = "decoded") -> DataFrame:
     """Add ``text``: what packed ids stand for, null ids giving the empty text."""
 
@@ -366,11 +391,7 @@ def decode(df: DataFrame, ranks_path: str, ids: str = "ids", text: str = "decode
         decoder = _decoder(ranks_path)
 
         def work(packed):
-            out = []
-            for x in packed:
-                own = np.frombuffer(x or b"", "<u4")
-                out.append(decoder.feed(own) + decoder.finish())
-            return {text: out}
+            return {text: [_decoded(decoder, x) for x in packed]}
 
         return work
 

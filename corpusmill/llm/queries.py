@@ -16,8 +16,7 @@ def op1_bpe_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Encode every document, decode the ids, and give digests of both."""
     path = public_tokenizers.path(RANKS)
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    ids = bpe.encode(docs, path, public_tokenizers.PATTERN).drop("text")
-    return bpe.decode(ids, path).select(
+    return bpe.round_trip(docs, path, public_tokenizers.PATTERN).select(
         "doc_id",
         bpe.n_tokens().alias("n_tokens"),
         F.sha2("ids", 256).alias("ids_sha256"),

@@ -57,6 +57,8 @@ def test_bpe_rows(spark):
     out = bpe.decode(bpe.encode(df, RANKS, public_tokenizers.PATTERN), RANKS)
     assert [(r.doc_id, ids_of(r.ids), r.decoded) for r in out.collect()] == [(1, reference.encode_ordinary("hello world"), "hello world"), (2, [], ""), (3, [], ""), (3, [], "")]
     assert bpe.encode(df.limit(0), RANKS, public_tokenizers.PATTERN).count() == 0
+    assert sorted(map(repr, bpe.round_trip(df, RANKS, public_tokenizers.PATTERN).collect())) == sorted(map(repr, out.collect()))
+    assert bpe.round_trip(df.limit(0), RANKS, public_tokenizers.PATTERN).count() == 0
     with pytest.raises(ValueError):
         decoder.bytes(np.array([10**6], "<u4"))
 
