@@ -12,7 +12,7 @@ import public_tokenizers
 import pytest
 import tiktoken
 from hypothesis import given, settings, strategies as st
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrameWriter, functions as F
 
 from corpusmill.llm import bpe, decontaminate, graph, html_text, langid, near_dup, repeats, secrets, suffix_tree, vectors, warc
 
@@ -425,20 +425,21 @@ def test_suffix_tree_rare_contexts(spark, monkeypatch, hot):
 
 def test_suffix_tree_closed_contexts(spark, monkeypatch):
     """Where nothing is left to gain, as within a passage that always goes on alike, longer contexts are not asked for."""
-    names, write = [], suffix_tree.materialize
-    monkeypatch.setattr(suffix_tree, "materialize", lambda df, name, *by: names.append(name) or write(df, name, *by))
+    paths, write = [], DataFrameWriter.parquet
+    monkeypatch.setattr(DataFrameWriter, "parquet", lambda self, path, *a, **k: paths.append(path) or write(self, path, *a, **k))
     passage = " ".join(f"w{i}" for i in range(40))
     df = spark.createDataFrame([(i, passage) for i in range(100)], "doc_id long, text string")
     got = suffix_tree.score(df, F.col("doc_id") % 10 == 0).collect()
     assert len(got) == 100 and all(r.score == pytest.approx(41 * math.log10(89.5 / 90), abs=1e-5) for r in got)
-    assert [n for n in names if n.startswith("told")] == ["told-1"]
+    assert [p.rsplit("/", 1)[1][:6] for p in paths if "/told" in p] == ["told-1"]
 
 
 def test_suffix_tree_join_by_steps(spark, monkeypatch, tmp_path):
     """Blocks get their answers in steps; what a step has read is deleted before the next one, and the scores are those of one step."""
-    monkeypatch.setattr(suffix_tree, "BLOCK_BYTES", 5_000)
+    monkeypatch.setattr(suffix_tree, "BLOCK_BYTES", 8_000)
+    monkeypatch.setattr(suffix_tree, "HOT_CONTEXT", 1000)
     rng = random.Random(15)
-    rows = [(i, " ".join(f"w{int(rng.expovariate(0.05))}" for _ in range(60))) for i in range(2000)]
+    rows = [(i, " ".join(f"w{int(rng.expovariate(0.05))}" for _ in range(60))) for i in range(1000)]
     df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
     scores = lambda: {r.doc_id: r.score for r in suffix_tree.score(df, F.col("doc_id") % 7 == 3).collect()}
     want = scores()
@@ -455,6 +456,8 @@ def test_suffix_tree_join_by_steps(spark, monkeypatch, tmp_path):
     monkeypatch.setattr("corpusmill.llm.common.shared_dir", lambda spark: f"file://{tmp_path}")
     assert scores() == pytest.approx(want, abs=1e-6)
     seen = [(waves, steps) for name, waves, steps in left if name == "level-1"]
+    writes = Counter(name for name, *_ in left)
+    assert writes["told-1-"] == 4 and writes["vocabul"] == 1  # pairs are asked for in shares of the buckets
     assert len(seen) == 4 and all(0 < waves <= 4 - i and steps <= 4 - i for i, (waves, steps) in enumerate(seen))
     assert len(list(tmp_path.iterdir())) == 1  # the scores, which the caller still reads
 
