@@ -83,6 +83,11 @@ def count_tokens(c: str | Column) -> Column:
     return word_count(c) + punctuation_count(c)
 
 
+def every_shingle(c: str | Column, size: int = 5) -> Column:
+    """Lower-case substrings of ``size`` characters, in linear time (a look-ahead, not repeated substrings)."""
+    return F.regexp_extract_all(F.lower(col(c)), F.lit(f"(?s)(?=(.{{{size}}}))"), F.lit(1))
+
+
 def shingles(c: str | Column, size: int = 5) -> Column:
-    """Distinct lower-case substrings of ``size`` characters, in linear time (a look-ahead, not repeated substrings)."""
-    return F.array_distinct(F.regexp_extract_all(F.lower(col(c)), F.lit(f"(?s)(?=(.{{{size}}}))"), F.lit(1)))
+    """Distinct lower-case substrings of ``size`` characters."""
+    return F.array_distinct(every_shingle(c, size))

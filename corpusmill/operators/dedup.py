@@ -1,9 +1,11 @@
 """Near-duplicate lines between a new batch and a corpus.
 
-Both sides are first reduced to distinct texts. Exact mode finds candidates by a
-prefix filter over shingles in ascending document frequency and verifies the
-similarity in integers; sketch mode compares MinHash signatures, with bands
-chosen so that no pair that the full signatures accept is lost.
+Exact mode finds candidates by a prefix filter over shingles in ascending document
+frequency and verifies the similarity in integers; sketch mode compares MinHash
+signatures, with bands chosen so that no pair that the full signatures accept is
+lost. A corpus that a worker can hold is sent to the new lines (``probe``), of which
+only matches move; for a larger one both sides are shuffled, shingles and bands with
+digests of their lines. The size of the corpus is found when a function is called.
 """
 
 from __future__ import annotations
@@ -11,10 +13,13 @@ from __future__ import annotations
 from fractions import Fraction
 from math import ceil
 
-from pyspark.sql import DataFrame
+from pyspark import StorageLevel
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import java_lines, java_trim, shingles
+from ..functions.batches import mapped
+from ..functions.text import col, every_shingle, is_blank, java_lines, java_trim, shingles
+from . import probe
 from .clean import check_threshold, lines
 
 SHINGLE, THRESHOLD, HASHES = 5, 0.90, 200
@@ -30,10 +35,23 @@ def eligible(docs: DataFrame, key: str = "doc_id", text: str = "text", size: int
     return lines(docs, key, text).where(F.length("line") >= size).select(key, "line_no", "line")
 
 
+def digest(line: str | Column) -> Column:
+    """Sixteen bytes that stand for a line where only its identity counts."""
+    return F.unhex(F.md5(col(line).cast("binary")))
+
+
+def hashed_shingles(line: str | Column, size: int = SHINGLE) -> Column:
+    """The shingles of a line as 64-bit hashes, repeated ones included."""
+    return F.transform(every_shingle(line, size), lambda x: F.xxhash64(x))
+
+
 def shingle_sets(texts: DataFrame, size: int = SHINGLE) -> DataFrame:
     """(line, shingles) of distinct texts; shingles as 64-bit hashes."""
-    cut = texts.select("line").distinct().withColumn("s", shingles("line", size))
-    return cut.select("line", F.transform("s", lambda x: F.xxhash64(x)).alias("shingles"))
+    return texts.select("line").distinct().select("line", F.array_distinct(hashed_shingles("line", size)).alias("shingles"))
+
+
+def _probed(texts: DataFrame, work, schema: str, size: int) -> DataFrame:
+    return mapped(texts.select("line", hashed_shingles("line", size).alias("shingles")), lambda: work, schema)
 
 
 def vocabulary(corpus: DataFrame, size: int = SHINGLE) -> DataFrame:
@@ -44,10 +62,19 @@ def vocabulary(corpus: DataFrame, size: int = SHINGLE) -> DataFrame:
 def restricted_sets(new: DataFrame, corpus: DataFrame, size: int = SHINGLE) -> tuple[DataFrame, DataFrame]:
     """Sets of both sides, those of the new side cut to the corpus vocabulary; new lines that keep none are gone."""
     held = shingle_sets(corpus, size)
+    small = probe.load(held)
+    if small is not None:
+        return _probed(new.select("line").distinct(), probe.Cut(small[1]), "line string, shingles array<bigint>", size), held
+    return _shuffled_sets(new, held, size), held
+
+
+def _shuffled_sets(new: DataFrame, held: DataFrame, size: int) -> DataFrame:
+    """The sets of new lines cut to the shingles of ``held``, by a join."""
     known = held.select(F.explode("shingles").alias("shingle")).distinct()
-    own = shingle_sets(new, size).select("line", F.explode("shingles").alias("shingle"))
-    cut = own.join(known, "shingle", "left_semi").groupBy("line").agg(F.collect_set("shingle").alias("shingles"))
-    return cut, held
+    texts = new.select("line").distinct()
+    own = texts.select(digest("line").alias("id"), F.explode(F.array_distinct(hashed_shingles("line", size))).alias("shingle"))
+    cut = own.join(known, "shingle", "left_semi").groupBy("id").agg(F.collect_set("shingle").alias("shingles"))
+    return texts.withColumn("id", digest("line")).join(cut, "id").select("line", "shingles")
 
 
 def _ceil_share(size: str, least: Fraction):
