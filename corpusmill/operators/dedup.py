@@ -84,13 +84,13 @@ def _ceil_share(size: str, least: Fraction):
 
 
 def _prefixes(sets: DataFrame, frequency: DataFrame, least: Fraction) -> DataFrame:
-    """(line, size, shingle) of the rarest shingles, enough of them that sets alike share one."""
-    rows = sets.select("line", F.size("shingles").alias("size"), F.explode("shingles").alias("shingle")).join(frequency, "shingle", "left")
-    ranked = rows.groupBy("line", "size").agg(
+    """(id, size, shingle) of the rarest shingles, enough of them that sets alike share one."""
+    rows = sets.select("id", F.size("shingles").alias("size"), F.explode("shingles").alias("shingle")).join(frequency, "shingle", "left")
+    ranked = rows.groupBy("id", "size").agg(
         F.array_sort(F.collect_list(F.struct(F.coalesce("df", F.lit(0)).alias("df"), "shingle"))).alias("order")
     )
     take = F.col("size") - _ceil_share("size", least) + 1
-    return ranked.select("line", "size", F.explode(F.slice("order", F.lit(1), take)).alias("o")).select("line", "size", "o.shingle")
+    return ranked.select("id", "size", F.explode(F.slice("order", F.lit(1), take)).alias("o")).select("id", "size", "o.shingle")
 
 
 def similar_texts(new: DataFrame, corpus: DataFrame, threshold: float = THRESHOLD, size: int = SHINGLE) -> DataFrame:
@@ -98,15 +98,29 @@ def similar_texts(new: DataFrame, corpus: DataFrame, threshold: float = THRESHOL
     least = share(threshold)
     if not least:
         raise ValueError("the prefix filter needs a threshold above 0")
-    a, b = restricted_sets(new, corpus, size)
+    held = shingle_sets(corpus, size)
+    small = probe.load(held)
+    if small is not None:
+        return _probed(new, probe.Similar(small, least), "new_line string, corpus_line string, shared int, joint int", size).distinct()
+    return _shuffled_texts(_shuffled_sets(new, held, size), held, least)
+
+
+def _stored(sets: DataFrame) -> DataFrame:
+    """Sets with the digests of their lines; several steps read them, and blocks are computed again if an executor is lost."""
+    return sets.withColumn("id", digest("line")).persist(StorageLevel.DISK_ONLY)
+
+
+def _shuffled_texts(new: DataFrame, corpus: DataFrame, least: Fraction) -> DataFrame:
+    """The pairs of two tables of sets, by joins."""
+    a, b = _stored(new), _stored(corpus)
     frequency = b.select(F.explode("shingles").alias("shingle")).groupBy("shingle").agg(F.count(F.lit(1)).alias("df"))
-    left = _prefixes(a, frequency, least).withColumnsRenamed({"line": "new_line", "size": "na"})
-    right = _prefixes(b, frequency, least).withColumnsRenamed({"line": "corpus_line", "size": "nb"})
+    left = _prefixes(a, frequency, least).withColumnsRenamed({"id": "new_id", "size": "na"})
+    right = _prefixes(b, frequency, least).withColumnsRenamed({"id": "corpus_id", "size": "nb"})
     over, under = (F.lit(x).cast("long") for x in (least.denominator, least.numerator))
     near_sizes = F.least("na", "nb") * over >= F.greatest("na", "nb") * under
-    pairs = left.join(right, "shingle").where(near_sizes).select("new_line", "corpus_line").distinct()
-    with_a = pairs.join(a.withColumnsRenamed({"line": "new_line", "shingles": "sa"}), "new_line")
-    both = with_a.join(b.withColumnsRenamed({"line": "corpus_line", "shingles": "sb"}), "corpus_line")
+    pairs = left.join(right, "shingle").where(near_sizes).select("new_id", "corpus_id").distinct()
+    with_a = pairs.join(a.withColumnsRenamed({"id": "new_id", "line": "new_line", "shingles": "sa"}), "new_id")
+    both = with_a.join(b.withColumnsRenamed({"id": "corpus_id", "line": "corpus_line", "shingles": "sb"}), "corpus_id")
     shared = F.size(F.array_intersect("sa", "sb"))
     counted = both.select("new_line", "corpus_line", shared.alias("shared"), (F.size("sa") + F.size("sb")).alias("both"))
     joint = counted.select("new_line", "corpus_line", "shared", (F.col("both") - F.col("shared")).alias("joint"))

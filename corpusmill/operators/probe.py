@@ -86,6 +86,61 @@ class Cut:
         return pa.RecordBatch.from_arrays([batch.column("line").take(pa.array(rows)), kept], names=["line", "shingles"])
 
 
+class Similar:
+    """(new_line, corpus_line, shared, joint) of pairs with shared / joint >= ``least``, by a prefix filter and exact counts."""
+
+    def __init__(self, corpus: tuple[pa.Array, np.ndarray, np.ndarray], least: Fraction):
+        self.lines, shingles, offsets = corpus
+        self.over, self.under = least.denominator, least.numerator
+        self.words = Vocabulary(shingles)
+        places = np.searchsorted(self.words.shingles, shingles)
+        frequency = np.bincount(places, minlength=len(self.words.shingles))
+        # numbers ascend with the number of corpus lines
+        self.words.number[np.argsort(frequency, kind="stable")] = np.arange(len(frequency))
+        self.sizes = np.diff(offsets)
+        owner = np.repeat(np.arange(len(self.sizes)), self.sizes)
+        order = np.lexsort((self.words.number[places], owner))
+        self.sets, self.starts = self.words.number[places][order], offsets[:-1] - offsets[0]
+        first = np.arange(len(owner)) - self.starts[owner] < self._prefix(self.sizes)[owner]
+        by_number = np.argsort(self.sets[first], kind="stable")
+        self.posted = owner[first][by_number]
+        self.posts = np.concatenate([[0], np.cumsum(np.bincount(self.sets[first], minlength=len(frequency)))])
+
+    def _prefix(self, sizes: np.ndarray) -> np.ndarray:
+        return sizes + (-sizes * self.under // self.over) + 1
+
+    def _near(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        return np.minimum(a, b) * self.over >= np.maximum(a, b) * self.under
+
+    def __call__(self, batch: pa.RecordBatch) -> pa.RecordBatch:
+        n, corpus = max(1, len(self.words.shingles)), max(1, len(self.sizes))
+        keys = self.words.cut(batch.column("shingles"))
+        rows = keys // n
+        sizes = np.bincount(rows, minlength=len(batch))
+        starts = np.cumsum(sizes) - sizes
+        near = (sizes > 0) & (sizes * self.under <= max(self.sizes, default=0) * self.over)
+        first = np.flatnonzero((np.arange(len(keys)) - starts[rows] < self._prefix(sizes)[rows]) & near[rows])
+        row, number = rows[first], keys[first] % n
+        many = self.posts[number + 1] - self.posts[number]
+        candidates = [np.zeros(0, dtype=np.int64)]
+        for part in _blocks(many):
+            a, b = np.repeat(row[part], many[part]), self.posted[_spread(self.posts[number[part]], many[part])]
+            good = self._near(sizes[a], self.sizes[b])
+            candidates.append(np.unique(a[good] * corpus + b[good]))
+        pairs = np.unique(np.concatenate(candidates))
+        a, b = pairs // corpus, pairs % corpus
+        shared = np.zeros(len(pairs), dtype=np.int64)
+        for part in _blocks(self.sizes[b]):
+            wanted = np.repeat(a[part], self.sizes[b[part]]) * n + self.sets[_spread(self.starts[b[part]], self.sizes[b[part]])]
+            at = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
+            held = np.repeat(np.arange(len(pairs))[part], self.sizes[b[part]])[keys[at] == wanted]
+            shared += np.bincount(held, minlength=len(pairs))
+        joint = sizes[a] + self.sizes[b] - shared
+        good = shared * self.over >= joint * self.under
+        cols = [batch.column("line").take(pa.array(a[good])), self.lines.take(pa.array(b[good])), pa.array(shared[good], pa.int32()), pa.array(joint[good], pa.int32())]
+        return pa.RecordBatch.from_arrays(cols, names=["new_line", "corpus_line", "shared", "joint"])
+
+
 def _left(x: np.ndarray, by: int) -> np.ndarray:
     return (x << np.uint64(by)) | (x >> np.uint64(64 - by))
 

@@ -35,3 +35,23 @@ def test_restricted_sets_shuffle_each_text_once(batch, monkeypatch):
     assert shuffles(dedup.restricted_sets(new, old)[0]) == 1
     small, large = both_ways(monkeypatch, lambda: dedup.restricted_sets(new, old)[0].select("line", F.array_sort("shingles")))
     assert small == large and len(small) > 30
+
+
+def test_similar_texts_shuffle_only_matches(batch, monkeypatch):
+    _, new, old = batch
+    # one for the distinct pairs, none that texts or shingles go through
+    assert shuffles(dedup.similar_texts(new, old)) == 1
+    for threshold in (0.5, 0.9):
+        small, large = both_ways(monkeypatch, lambda t=threshold: dedup.similar_texts(new, old, t))
+        assert small == large and len(small) > 30
+        monkeypatch.undo()
+
+
+def test_probe_in_blocks(batch, monkeypatch):
+    _, new, old = batch
+    whole = sorted(dedup.similar_texts(new, old, 0.5).collect())
+    corpus = probe.load(dedup.shingle_sets(old))
+    lines = new.select("line", dedup.hashed_shingles("line").alias("shingles")).toArrow().combine_chunks().to_batches()[0]
+    monkeypatch.setattr(probe, "NUMBERS_AT_ONCE", 7)
+    got = probe.Similar(corpus, dedup.share(0.5))(lines).to_pylist()
+    assert sorted({tuple(r.values()) for r in got}) == [tuple(r) for r in whole]
