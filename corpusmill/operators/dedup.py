@@ -128,9 +128,9 @@ def _shuffled_texts(new: DataFrame, corpus: DataFrame, least: Fraction) -> DataF
 
 
 def signatures(sets: DataFrame, hashes: int = HASHES) -> DataFrame:
-    """(line, signature): the least hash of the set for each of ``hashes`` seeds."""
-    least = F.transform(F.sequence(F.lit(0), F.lit(hashes - 1)), lambda k: F.array_min(F.transform("shingles", lambda s: F.xxhash64(s, k))))
-    return sets.select("line", least.alias("signature"))
+    """(line, signature): the least hash of the set for each of ``hashes`` seeds; empty sets have none."""
+    full = sets.where(F.size("shingles") > 0).select("line", "shingles")
+    return mapped(full, lambda: probe.Signed(hashes), "line string, signature array<bigint>")
 
 
 def bands_for(hashes: int, threshold: float) -> int:
@@ -146,21 +146,28 @@ def similar_sketches(
     new: DataFrame, corpus: DataFrame, threshold: float = THRESHOLD, size: int = SHINGLE, hashes: int = HASHES
 ) -> DataFrame:
     """(new_line, corpus_line, agree): pairs whose signatures agree in threshold * hashes places or more."""
-    needed = ceil(share(threshold) * hashes)
-    a, b = restricted_sets(new, corpus, size)
-    bands = bands_for(hashes, threshold)
+    needed, bands = ceil(share(threshold) * hashes), bands_for(hashes, threshold)
+    held = shingle_sets(corpus, size)
+    small = probe.load(held)
+    if small is not None:
+        return _probed(new, probe.Sketched(small, hashes, bands, needed), "new_line string, corpus_line string, agree int", size).distinct()
+    return _shuffled_sketches(_shuffled_sets(new, held, size), held, hashes, bands, needed)
+
+
+def _shuffled_sketches(new: DataFrame, corpus: DataFrame, hashes: int, bands: int, needed: int) -> DataFrame:
+    """The pairs of two tables of sets whose signatures agree in ``needed`` places, by joins."""
     rows = hashes // bands
 
-    def banded(sets, line, signature):
-        signed = signatures(sets, hashes).withColumnsRenamed({"line": line, "signature": signature})
+    def banded(sets, line, id, signature):
+        signed = _stored(signatures(sets, hashes)).withColumnsRenamed({"line": line, "id": id, "signature": signature})
         keys = F.transform(F.sequence(F.lit(0), F.lit(bands - 1)), lambda k: F.xxhash64(k, F.slice(signature, k * rows + 1, F.lit(rows))))
-        return signed, signed.select(line, F.explode(keys).alias("band"))
+        return signed, signed.select(id, F.explode(keys).alias("band"))
 
-    left, left_bands = banded(a, "new_line", "x")
-    right, right_bands = banded(b, "corpus_line", "y")
-    pairs = left_bands.join(right_bands, "band").select("new_line", "corpus_line").distinct()
+    left, left_bands = banded(new, "new_line", "new_id", "x")
+    right, right_bands = banded(corpus, "corpus_line", "corpus_id", "y")
+    pairs = left_bands.join(right_bands, "band").select("new_id", "corpus_id").distinct()
     agree = F.size(F.filter(F.arrays_zip("x", "y"), lambda z: z["x"] == z["y"]))
-    counted = pairs.join(left, "new_line").join(right, "corpus_line").select("new_line", "corpus_line", agree.alias("agree"))
+    counted = pairs.join(left, "new_id").join(right, "corpus_id").select("new_line", "corpus_line", agree.alias("agree"))
     return counted.where(F.col("agree") >= needed)
 
 

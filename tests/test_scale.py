@@ -55,3 +55,18 @@ def test_probe_in_blocks(batch, monkeypatch):
     monkeypatch.setattr(probe, "NUMBERS_AT_ONCE", 7)
     got = probe.Similar(corpus, dedup.share(0.5))(lines).to_pylist()
     assert sorted({tuple(r.values()) for r in got}) == [tuple(r) for r in whole]
+
+
+def test_signatures_are_the_hashes_of_spark(spark):
+    rows = spark.createDataFrame([("a", [3, -7, 2**62]), ("b", [0])], "line string, shingles array<bigint>")
+    least = lambda k: F.array_min(F.transform("shingles", lambda s: F.xxhash64(s, F.lit(k))))
+    assert sorted(dedup.signatures(rows, 9).collect()) == sorted(rows.select("line", F.array(*[least(k) for k in range(9)])).collect())
+
+
+def test_similar_sketches_shuffle_only_matches(batch, monkeypatch):
+    _, new, old = batch
+    assert shuffles(dedup.similar_sketches(new, old)) == 1
+    monkeypatch.setattr(probe, "HASHES_KEPT", 0)
+    unkept = sorted(dedup.similar_sketches(new, old).collect())
+    small, large = both_ways(monkeypatch, lambda: dedup.similar_sketches(new, old))
+    assert small == large == unkept and len(small) > 30
