@@ -176,10 +176,12 @@ def duplicate_pairs(new: DataFrame, corpus: DataFrame, similar: DataFrame, skip_
 
     ``new`` and ``corpus`` are (file, line_no, line). All matches are kept.
     """
-    left = new.select(F.col("file").alias("new_file"), F.col("line_no").alias("new_line"), F.col("line").alias("new_text"))
-    right = corpus.select(F.col("file").alias("corpus_file"), F.col("line_no").alias("corpus_line"), F.col("line").alias("corpus_text"))
+    # texts come from the pairs; lines are joined by digests of theirs
+    left = new.select(F.col("file").alias("new_file"), F.col("line_no").alias("new_line"), digest("line").alias("new_id"))
+    right = corpus.select(F.col("file").alias("corpus_file"), F.col("line_no").alias("corpus_line"), digest("line").alias("corpus_id"))
     named = similar.withColumnsRenamed({"new_line": "new_text", "corpus_line": "corpus_text"})
-    pairs = named.join(left, "new_text").join(right, "corpus_text")
+    named = named.withColumns({"new_id": digest("new_text"), "corpus_id": digest("corpus_text")})
+    pairs = named.join(right, "corpus_id").join(left, "new_id").drop("new_id", "corpus_id")
     return pairs.where(F.col("new_file") != F.col("corpus_file")) if skip_same_document else pairs
 
 

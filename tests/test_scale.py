@@ -70,3 +70,14 @@ def test_similar_sketches_shuffle_only_matches(batch, monkeypatch):
     unkept = sorted(dedup.similar_sketches(new, old).collect())
     small, large = both_ways(monkeypatch, lambda: dedup.similar_sketches(new, old))
     assert small == large == unkept and len(small) > 30
+
+
+def test_duplicate_pairs_move_no_texts_of_lines(batch):
+    _, new, old = batch
+    pairs = dedup.duplicate_pairs(new, old, dedup.similar_texts(new, old))
+    lines, held = [tuple(r) for r in new.collect()], [tuple(r) for r in old.collect()]
+    alike = {(r.new_line, r.corpus_line) for r in dedup.similar_texts(new, old).collect()}
+    want = sorted((f, n, g, m) for f, n, x in lines for g, m, y in held if (x, y) in alike)
+    assert sorted(tuple(r) for r in pairs.select("new_file", "new_line", "corpus_file", "corpus_line").collect()) == want
+    plan = pairs._jdf.queryExecution().executedPlan().toString()
+    assert not [row for row in plan.splitlines() if "Exchange hashpartitioning(new_text" in row or "Exchange hashpartitioning(corpus_text" in row]
