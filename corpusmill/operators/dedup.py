@@ -187,7 +187,8 @@ def duplicate_pairs(new: DataFrame, corpus: DataFrame, similar: DataFrame, skip_
 
 def flagged(new: DataFrame, similar: DataFrame) -> DataFrame:
     """Lines of the new batch with a near-duplicate, each once."""
-    return new.join(similar.select(F.col("new_line").alias("line")).distinct(), "line", "left_semi")
+    found = similar.select(digest("new_line").alias("__id")).distinct()
+    return new.withColumn("__id", digest("line")).join(found, "__id", "left_semi").drop("__id")
 
 
 def remove_flagged(docs: DataFrame, gone: DataFrame, key: str = "doc_id", text: str = "text", size: int = SHINGLE) -> DataFrame:

@@ -81,3 +81,13 @@ def test_duplicate_pairs_move_no_texts_of_lines(batch):
     assert sorted(tuple(r) for r in pairs.select("new_file", "new_line", "corpus_file", "corpus_line").collect()) == want
     plan = pairs._jdf.queryExecution().executedPlan().toString()
     assert not [row for row in plan.splitlines() if "Exchange hashpartitioning(new_text" in row or "Exchange hashpartitioning(corpus_text" in row]
+
+
+def test_flagged_lines_are_joined_without_texts(batch):
+    _, new, old = batch
+    similar = dedup.similar_texts(new, old)
+    gone = dedup.flagged(new, similar).select("file", "line_no")
+    plan = gone._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange hashpartitioning(line" not in plan
+    alike = {r.new_line for r in similar.collect()}
+    assert sorted(r.file for r in gone.collect()) == sorted(r.file for r in new.collect() if r.line in alike)
