@@ -194,21 +194,19 @@ def flagged(new: DataFrame, similar: DataFrame) -> DataFrame:
 def remove_flagged(docs: DataFrame, gone: DataFrame, key: str = "doc_id", text: str = "text", size: int = SHINGLE) -> DataFrame:
     """(key, text, lines_removed): flagged lines removed; documents left without a non-blank line are dropped.
 
-    Documents that lose no line are kept as they are.
+    Documents that lose no line are kept as they are. Only marks meet texts: lines are
+    cut where their document is.
     """
-    from ..functions.text import is_blank
-
-    own = lines(docs, key, text)
-    marks = gone.select(F.col(key), "line_no", F.lit(True).alias("gone")).distinct()
-    judged = own.join(marks, [key, "line_no"], "left").withColumn("gone", F.coalesce("gone", F.lit(False)) & (F.length("line") >= size))
-    kept = F.array_sort(F.collect_list(F.when(~F.col("gone"), F.struct("line_no", "raw"))))
-    joined = judged.groupBy(key).agg(
-        F.concat_ws("", F.transform(kept, lambda x: F.concat(x["raw"], F.lit("\n")))).alias("cleaned"),
-        F.count_if("gone").alias("lines_removed"),
-        F.bool_or(~F.col("gone") & ~is_blank("raw")).alias("alive"),
-    )
-    out = docs.select(key, text).join(joined, key, "left").where(F.coalesce("alive", F.lit(True)) | (F.coalesce("lines_removed", F.lit(0)) == 0))
-    return out.select(key, F.when(F.col("lines_removed") > 0, F.col("cleaned")).otherwise(F.col(text)).alias(text), F.coalesce("lines_removed", F.lit(0)).alias("lines_removed"))
+    marks = gone.groupBy(key).agg(F.collect_set("line_no").alias("__gone"))
+    marked = docs.select(key, text).join(marks, key, "left").withColumn("__raw", F.when(F.col("__gone").isNotNull(), java_lines(text)))
+    line = lambda n: F.get("__raw", n - 1)
+    cut = marked.withColumn("__gone", F.filter("__gone", lambda n: F.length(java_trim(line(n))) >= size))
+    cut = cut.withColumn("lines_removed", F.coalesce(F.size("__gone"), F.lit(0)).cast("long"))
+    rest = F.transform(F.array_except(F.sequence(F.lit(1), F.size("__raw")), "__gone"), line)
+    kept = cut.withColumn("__kept", F.when(F.col("lines_removed") > 0, rest))
+    joined = F.concat_ws("", F.transform("__kept", lambda x: F.concat(x, F.lit("\n"))))
+    alive = (F.col("lines_removed") == 0) | F.exists("__kept", lambda x: ~is_blank(x))
+    return kept.where(alive).select(key, F.when(F.col("lines_removed") > 0, joined).otherwise(F.col(text)).alias(text), "lines_removed")
 
 
 def report(pairs: DataFrame) -> DataFrame:

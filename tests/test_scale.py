@@ -91,3 +91,14 @@ def test_flagged_lines_are_joined_without_texts(batch):
     assert "Exchange hashpartitioning(line" not in plan
     alike = {r.new_line for r in similar.collect()}
     assert sorted(r.file for r in gone.collect()) == sorted(r.file for r in new.collect() if r.line in alike)
+
+
+def test_remove_flagged_moves_documents_and_marks_only(spark):
+    docs = spark.createDataFrame(
+        [(1, "first line\r\nsecond line\n\nab"), (2, "first line\n \n"), (3, "kept as it is\r\n"), (4, None), (5, ""), (6, "tiny\nfirst line")], "doc_id int, text string"
+    )
+    gone = spark.createDataFrame([(1, 1), (1, 1), (2, 1), (6, 1), (6, 2), (7, 1)], "doc_id int, line_no int")
+    out = dedup.remove_flagged(docs, gone)
+    # marks once, documents once; lines are not exploded
+    assert shuffles(out) == 2 and "Generate" not in out._jdf.queryExecution().executedPlan().toString()
+    assert sorted(tuple(r) for r in out.collect()) == [(1, "second line\n\nab\n", 1), (3, "kept as it is\r\n", 0), (4, None, 0), (5, "", 0), (6, "tiny\n", 1)]
