@@ -2,8 +2,9 @@
 
 A lexicon row is a signal, an evaluator, or both, of one bias type or of all.
 Sentences are matched longest n-gram first; a signal counts with an evaluator of
-its type at most ten tokens away. The lexicon is joined by equality on n-gram
-keys, so its size does not matter; it is broadcast only if Spark finds it small.
+its type at most ten tokens away. A lexicon of up to ``FORMS_AT_ONCE`` forms is sent
+to the sentences, which then stay where they are (``bias_walk``); its size is found
+when they are scored. A larger one is joined by equality on n-gram keys.
 """
 
 from __future__ import annotations
@@ -12,10 +13,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import RX_BIAS_CHARS, col, is_blank, java_trim, split_space
+from . import bias_walk
 
 # The bias types, in report order, the window and the least number of tokens.
 TYPES = ("gender", "race_ethnicity", "religion", "disability", "appearance")
 WINDOW, MIN_WORDS, LONG_SENTENCE = 10, 6, 200
+#: Forms of a lexicon that workers hold at a time.
+FORMS_AT_ONCE = 200_000
 
 
 def with_predicates(lexicon: DataFrame) -> DataFrame:
@@ -146,9 +150,24 @@ def score_sentences(sentences: DataFrame, index: DataFrame, key: str, sentence:
     {type}_evaluators and {type}_coverage; totalBiasWords, totalDerogatory,
     totalColloquial, multiType, totalCoverage, long_sentence. Sentences of fewer
     than six tokens have a zero score. Entries of an unknown type match, but pair
-    in no type. ``key`` must identify sentences. Only matched positions are
-    exploded; they are grouped by sentence and type, then by sentence.
+    in no type. ``key`` must identify sentences.
     """
+    if index.limit(FORMS_AT_ONCE + 1).count() <= FORMS_AT_ONCE:
+        counted = bias_walk.walked(sentences, index, sentence, TYPES, WINDOW, MIN_WORDS)
+    else:
+        counted = _joined(sentences, index, key, sentence)
+    share = {t: F.coalesce(F.try_divide(F.col(f"{t}_pairs"), F.col("totalWords")), F.lit(0.0)) for t in TYPES}
+    coverage, types = F.lit(0.0), F.lit(0)
+    for t in TYPES:
+        coverage, types = coverage + share[t], types + (F.col(f"{t}_pairs") > 0).cast("int")
+    return counted.withColumns(
+        {f"{t}_coverage": share[t] for t in TYPES}
+        | {"multiType": types >= 2, "totalCoverage": coverage, "long_sentence": F.col("totalWords") > LONG_SENTENCE}
+    ).drop(*[f"{t}_pairs" for t in TYPES])
+
+
+def _joined(sentences: DataFrame, index: DataFrame, key: str, sentence: str) -> DataFrame:
+    """The counts of ``bias_walk`` for any lexicon. Only matched positions are exploded; they are grouped by sentence and type, then by sentence."""
     walked = matched_tokens(sentences, index, key, sentence)
     at = F.transform("emitted", lambda x, i: F.struct(i.alias("__i"), x["entry"].alias("e")))
     found = walked.select(key, F.size("emitted").alias("words"), F.filter(at, lambda x: x["e"].isNotNull()).alias("f"))
@@ -171,15 +190,7 @@ def score_sentences(sentences: DataFrame, index: DataFrame, key: str, sentence:
     )
     out = sentences.join(found.select(key, F.col("words").alias("totalWords")), key).join(totals, key, "left").join(wide, key, "left")
     numbers = [f"{t}_{k}" for t in TYPES for k in ("signals", "evaluators", "pairs")] + ["totalBiasWords", "totalDerogatory", "totalColloquial"]
-    filled = out.fillna(0, numbers).withColumn("matchedLemmas", F.coalesce("matchedLemmas", F.array().cast("array<string>")))
-    share = {t: F.coalesce(F.try_divide(F.col(f"{t}_pairs"), F.col("totalWords")), F.lit(0.0)) for t in TYPES}
-    coverage, types = F.lit(0.0), F.lit(0)
-    for t in TYPES:
-        coverage, types = coverage + share[t], types + (F.col(f"{t}_pairs") > 0).cast("int")
-    return filled.withColumns(
-        {f"{t}_coverage": share[t] for t in TYPES}
-        | {"multiType": types >= 2, "totalCoverage": coverage, "long_sentence": F.col("totalWords") > LONG_SENTENCE}
-    ).drop(*[f"{t}_pairs" for t in TYPES])
+    return out.fillna(0, numbers).withColumn("matchedLemmas", F.coalesce("matchedLemmas", F.array().cast("array<string>")))
 
 
 def pair_coverage(kind: str | None) -> Column:

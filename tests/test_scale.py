@@ -5,7 +5,8 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from corpusmill.operators import dedup, probe
+from corpusmill.operators import bias, dedup, probe
+from corpusmill.sources import lexicon
 
 
 def shuffles(df) -> int:
@@ -102,3 +103,24 @@ def test_remove_flagged_moves_documents_and_marks_only(spark):
     # marks once, documents once; lines are not exploded
     assert shuffles(out) == 2 and "Generate" not in out._jdf.queryExecution().executedPlan().toString()
     assert sorted(tuple(r) for r in out.collect()) == [(1, "second line\n\nab\n", 1), (3, "kept as it is\r\n", 0), (4, None, 0), (5, "", 0), (6, "tiny\n", 1)]
+
+
+def test_bias_scores_move_no_sentences(spark, monkeypatch):
+    draw = random.Random(5)
+    rows = ["word\tPOS\tsignal\ttype\tvalue\tderog\tcolloq\tflag\tpos\tneg\tforms"]
+    rows += ["her\tN\ttrue\tgender\t\tfalse\tfalse\t1\t0\t0\ther own|a b c|ж", "bad\tA\tfalse\t\tnegative\ttrue\tfalse\t1\t0\t0.9\tb|b  c", "odd\tN\ttrue\tage\tnegative\tfalse\ttrue\t1\t0\t0\to"]
+    rows += ["one of\tN\tTRUE\treligion\tpositive\tfalse\ttrue\t1\t0.7\t0\t", "own\tA\tfalse\treligion\tneutral\tfalse\ttrue\t1\tx\t0.2\tc d"]
+    index = bias.form_index(lexicon.parse_lexicon(spark.createDataFrame(list(enumerate(rows)), "line_no int, value string")))
+    words = ["Her", "own", "a", "b", "c", "d", "-", "12", "ж", "o", "one", "of", "bad", "x", "yy", "b,", "(c"]
+    texts = [draw.choice(["", " ", "- "]) + draw.choice([" ", "  ", "\t"]).join(draw.choices(words, k=draw.randint(1, 60))) for _ in range(150)]
+    own = spark.createDataFrame(list(enumerate([*texts, None, "", "...", "- -", "x " * 30 + "her " * 40 + "bad"])), "i int, sentence string")
+    make = lambda: bias.score_sentences(own, index, "i")
+    names = sorted(make().columns)
+    assert shuffles(make()) == 0
+    kinds = make().select(*names).schema.simpleString()
+    fast = {r.i: r for r in make().select(*names).collect()}
+    monkeypatch.setattr(bias, "FORMS_AT_ONCE", 0)
+    slow = make().select(*names)
+    assert slow.schema.simpleString() == kinds
+    slow = {r.i: r for r in slow.collect()}
+    assert fast == slow and sum(r.totalCoverage > 0 for r in slow.values()) > 50
