@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from corpusmill.operators import bias, dedup, probe
+from corpusmill.plans import registry
 from corpusmill.sources import lexicon
 
 
@@ -124,3 +125,9 @@ def test_bias_scores_move_no_sentences(spark, monkeypatch):
     assert slow.schema.simpleString() == kinds
     slow = {r.i: r for r in slow.collect()}
     assert fast == slow and sum(r.totalCoverage > 0 for r in slow.values()) > 50
+
+
+def test_bias_report_reads_sentences_once(spark):
+    own = registry.queries()["k11_bias_report"](spark, "/root/testdata/sf0.001")
+    plan = own._jdf.queryExecution().executedPlan().toString()
+    assert shuffles(own) == 0 and plan.count("Scan parquet") == 1 and own.count() > 0
