@@ -5,8 +5,8 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from corpusmill.operators import bias, dedup, probe
-from corpusmill.plans import registry
+from corpusmill.operators import bias, dedup, pii, probe
+from corpusmill.plans import pipeline, registry
 from corpusmill.sources import lexicon
 
 
@@ -131,3 +131,24 @@ def test_bias_report_reads_sentences_once(spark):
     own = registry.queries()["k11_bias_report"](spark, "/root/testdata/sf0.001")
     plan = own._jdf.queryExecution().executedPlan().toString()
     assert shuffles(own) == 0 and plan.count("Scan parquet") == 1 and own.count() > 0
+
+
+def test_pipeline_joins_no_sentences(spark):
+    docs = spark.createDataFrame([(1, "One sentence of 01.02.2003 and more. Two of them are here!"), (2, "the other the one is of the kind\n\nthat"), (3, "")], "doc_id int, text string")
+    index = lexicon.parse_lexicon(spark.createDataFrame(list(enumerate(registry.LEXICON)), "line_no int, value string"))
+    done = pipeline.run(docs, pipeline.PipelineConfig(remove_duplicates=True), docs, docs.limit(0), None, index)
+    plan = done.records._jdf.queryExecution().executedPlan().toString()
+    assert "sent_no" in plan and not [row for row in plan.splitlines() if "Exchange" in row and "sent_no" in row]
+    kept = {r.doc_id: r for r in done.records.collect()}
+    assert set(kept) == {"1", "2"} and kept["1"].NumberSentences == len(kept["1"].PersonallyIdentifiableInformation) == len(kept["1"].BiasedInformation) == 2
+    assert kept["1"].PersonallyIdentifiableInformation == [1 / 6, 0.0]
+
+
+def test_a_copy_of_the_policy_skips_sentences_too(spark):
+    own = spark.createDataFrame([("no data in this one",), ("mail a@b.cc to me",), ("years 12 years old",)], "sentence string")
+    plain, copied = pii.score_sentences(own), pii.score_sentences(own, policy=dict(pii.POLICY))
+    named = pii.score_sentences(own, policy=pii.policy_with_people(["this one"]))
+    has = lambda df: pii.HINT[:6] in df._jdf.queryExecution().executedPlan().toString()
+    assert has(plain) and has(copied) and not has(named)
+    assert sorted(r.piiTokens for r in copied.collect()) == sorted(r.piiTokens for r in plain.collect()) == [0, 1, 3]
+    assert max(r.piiTokens for r in named.where("sentence like 'no%'").collect()) == 2
